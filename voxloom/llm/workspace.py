@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _KEPT: list[tuple[SparkSession, str]] = []
 
 
@@ -50,9 +51,13 @@ class Workspace:
         self._temporary: list[str] = []
 
     def __enter__(self) -> Workspace:
+        # every table is written once and read from then on, so its shuffle files can go with its execution
+        self._before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
         return self
 
     def __exit__(self, *error) -> None:
+        self.spark.conf.set(CLEANUP, self._before)
         for path in self._temporary:
             _delete(self.spark, path)
 
