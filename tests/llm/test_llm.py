@@ -189,6 +189,14 @@ def test_secrets(spark):
     assert got[5]["spans"] == "" and got[8]["spans"] == ""
 
 
+def test_line_dedup_long_runs(spark):
+    """Lines that only begin alike stay; near copies without blanks are found; short lines are their own shingles."""
+    run = "".join(chr(0x4E00 + 37 * k % 997) for k in range(120))
+    lines = ["https://one.example/a", "https://two.example/bcdef", run, run[:60] + "x" + run[61:], "abc", "abd", "ABC "]
+    rows = line_dedup.line_report(docs(spark, ["\n".join(lines)])).collect()
+    assert [r["dropped"] for r in rows] == [[3, 6]]
+
+
 def test_line_dedup(spark):
     rng = random.Random(7)
     long = sentence(rng, 30)
