@@ -210,6 +210,26 @@ def test_line_dedup(spark):
     assert line_dedup.line_report(docs(spark, texts).where("false")).count() == 0
 
 
+def brute_line_components(lines):
+    sets = [{n[k : k + 6] for k in range(max(1, len(n) - 5))} for n in (x.strip().lower() for x in lines)]
+    linked = [(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if 180 * len(sets[a] & sets[b]) >= 80 * (len(sets[a]) + len(sets[b]))]
+    return components(len(sets), linked), len(linked)
+
+
+def test_line_dedup_families_around_a_passage(spark):
+    """Near copies whose buckets are all hot: families of lines that share most of a passage."""
+    rng, lines = random.Random(21), []
+    passage = sentence(rng, 22)
+    for _ in range(120):
+        own = sentence(rng, 4)
+        lines += [f"{passage} {own}{end}" for end in (".", "!", " ?")]
+    rng.shuffle(lines)
+    want, _ = brute_line_components(lines)
+    assert 100 <= len(set(want)) <= 120
+    rows = line_dedup.line_report(docs(spark, ["\n".join(lines)])).collect()
+    assert list(rows[0]["dropped"]) == [i for i in range(len(lines)) if want[i] != i]
+
+
 def test_packing(spark):
     rng = np.random.default_rng(0)
     for _ in range(100):

@@ -9,10 +9,12 @@ of 0.8 between these found with a chance of 0.996. Each candidate is verified by
 similarity of all shingles (as 64-bit hashes) of both lines, links become components, and of a component the first
 line by (doc_id, line number) stays.
 
-Groups are never paired out. First every line meets one leader, the one it shares most buckets with.
-Links are contracted; then, ROUNDS - 1 times, every bucket that holds several components draws
-another leader, which the lines of the other components meet. Pairs of a round are at most the
-rows of the buckets. Two lines whose shared buckets never drew a leader that joins them stay apart.
+Leaders come first, to contract: every line meets one leader, the one it shares most buckets with;
+then, ROUNDS - 1 times, every bucket that holds several components draws another leader, which the
+lines of the other components meet. The lines of buckets that still hold several components are
+finished exactly: of all their pairs across components those are verified that set sizes and
+prefixes (rarest shingles first) allow to be similar enough, so no bucket keeps an unverified pair.
+A frequent shingle's lines are met in blocks of BLOCK, spread over the tasks.
 
 Edge cases: a null text has no lines; blank lines always stay and are no duplicates; a line shorter
 than SHINGLE is its own shingle; equal (doc_id, line number) of rows that repeat an id are told apart
@@ -37,6 +39,8 @@ BANDS = 14
 ROWS = 5
 ROUNDS = 3
 PERCENT = 80
+SKETCH = 1 << 17
+BLOCK = 512
 _MASKS = [random.Random(f"line-{k}").getrandbits(63) for k in range(BANDS * ROWS)]
 
 
@@ -102,6 +106,35 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(near & alike).select("a", "b").distinct()
 
 
+def _left_over(ws: Workspace, lines: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): every pair of lines (line, component) of different components that can still be similar enough.
+
+    Sets are ordered by how often their shingles' places of a sketch were seen, then by hash. Similar sets share an
+    element among the first n - least + 1 of each, where least is what the similarity asks of a set of n.
+    """
+    sets = lines.join(texts, "line").select("line", "component", "n", F.array_distinct(hashed_shingles(F.col("normal"))).alias("hs"))
+    sets = ws.table(sets, "left-sets")
+    place = F.pmod(F.col("h"), F.lit(SKETCH))
+    # bounded by SKETCH, so the order needs no exchange by shingle
+    seen = ws.table(sets.select(F.explode("hs").alias("h")).groupBy(place.alias("place")).agg(F.count("*").alias("seen")), "left-seen")
+    ranked = sets.select("line", "component", "n", F.explode("hs").alias("h")).withColumn("place", place).join(F.broadcast(seen), "place")
+    ordered = ranked.groupBy("line", "component", "n").agg(F.array_sort(F.collect_list(F.struct("seen", "h"))).alias("hs"))
+    prefix = F.slice("hs", F.lit(1), (F.col("n") - F.floor((F.lit(PERCENT) * F.col("n") + 99) / 100) + 1).cast("int"))
+    posted = ordered.select("line", "component", "n", F.posexplode(prefix).alias("at", "e")).select("line", "component", "n", "at", F.col("e.h").alias("h"), F.ceil(F.col("e.seen") / BLOCK).alias("parts"))
+    posted = posted.withColumn("own", F.pmod(F.xxhash64("line", F.lit(3)), F.col("parts")))
+    posted = posted.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    posted = ws.table(posted.select("line", "component", "n", "at", "h", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")), "left-posted")
+    x, y = posted.alias("x"), posted.alias("y")
+    met = (F.col("x.h") == F.col("y.h")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
+    # lines of one block meet in its own cell alone
+    once = (F.col("x.own") != F.col("y.own")) | (F.col("x.low") == F.col("x.high"))
+    # at their first common element no more than the rest of either set can be common
+    rest = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+    near = F.lit(100 + PERCENT) * rest >= F.lit(PERCENT) * (F.col("x.n") + F.col("y.n"))
+    pairs = x.join(y, met & once & (F.col("x.line") > F.col("y.line")) & (F.col("x.component") != F.col("y.component")) & near)
+    return pairs.select(F.col("x.line").alias("a"), F.col("y.line").alias("b")).distinct()
+
+
 def _texts(docs: DataFrame, occurrences: DataFrame, lines: DataFrame) -> DataFrame:
     """(line, normal, n) of the given lines, each read from the document that has it first; n: the size of its set."""
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no")
@@ -113,6 +146,11 @@ def _texts(docs: DataFrame, occurrences: DataFrame, lines: DataFrame) -> DataFra
     return normal.select(line_id(F.col("normal")).alias("line"), "normal", F.size(F.array_distinct(hashed_shingles(F.col("normal")))).alias("n"))
 
 
+def _labelled(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    """(band, line, component) of the rows of the buckets; a line without a link is its own component."""
+    return shared.join(groups.select(F.col("node").alias("line"), "component"), "line", "left").select("band", "line", F.coalesce("component", "line").alias("component"))
+
+
 def duplicate_lines(ws: Workspace, docs: DataFrame) -> DataFrame:
     """(doc_id, line_no) of every line that goes."""
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no")
@@ -126,13 +164,18 @@ def duplicate_lines(ws: Workspace, docs: DataFrame) -> DataFrame:
     links = ws.table(_verified(best, texts), "found-0")
     groups = ws.table(connected_components(ws, links, "cc-0"), "groups-0")
     for k in range(1, ROUNDS):
-        labelled = shared.join(groups.select(F.col("node").alias("line"), "component"), "line", "left").select("band", "line", F.coalesce("component", "line").alias("component"))
+        labelled = _labelled(shared, groups)
         # the draw differs by bucket and round; its line and component come along in the least struct
         draw = F.min(F.struct(F.xxhash64("band", "line", F.lit(k)), F.col("line").alias("leader"), F.col("component").alias("of"))).alias("head")
         mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), draw).where("low <> high").select("band", "head.leader", "head.of")
         pairs = labelled.join(mixed, "band").where("component <> of").select(F.greatest("line", "leader").alias("a"), F.least("line", "leader").alias("b")).distinct()
         links = links.unionAll(ws.table(_verified(pairs, texts), f"found-{k}"))
         groups = ws.table(connected_components(ws, links, f"cc-{k}"), f"groups-{k}")
+    labelled = _labelled(shared, groups)
+    mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
+    left = ws.table(labelled.join(mixed, "band").select("line", "component").distinct(), "left")
+    links = links.unionAll(ws.table(_verified(_left_over(ws, left, texts), texts), "found-left"))
+    groups = ws.table(connected_components(ws, links, "cc-left"), "groups-left")
     named = small.join(groups.select(F.col("node").alias("line"), "component"), "line", "left").select("doc_id", "line_no", F.coalesce("component", "line").alias("component"))
     named = ws.table(named, "named")
     first = named.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1")
