@@ -230,6 +230,24 @@ def test_line_dedup_families_around_a_passage(spark):
     assert list(rows[0]["dropped"]) == [i for i in range(len(lines)) if want[i] != i]
 
 
+@pytest.mark.parametrize("n_words", [10, 14])
+def test_line_dedup_recall_on_short_lines(spark, n_words):
+    """Lines with one changed word or character, linked by the similarity of all shingles."""
+    rng, lines = random.Random(22), []
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.choice([1, 2, 2, 3, 3, 4, 5, 7, 9])))
+    for k in range(1500):
+        own = [word() for _ in range(n_words)]
+        lines.append(" ".join(own))
+        at = rng.randrange(n_words)
+        own[at] = word() if k % 2 else own[at][:-1] + "#"
+        lines.append(" ".join(own))
+    sets = [{x[k : k + 6] for k in range(max(1, len(x) - 5))} for x in lines]
+    want = {a + 1 for a in range(0, len(lines), 2) if 180 * len(sets[a] & sets[a + 1]) >= 80 * (len(sets[a]) + len(sets[a + 1]))}
+    rows = line_dedup.line_report(docs(spark, ["\n".join(lines)])).collect()
+    got = set(rows[0]["dropped"])
+    assert len(want) > 300 and got <= want and len(want - got) <= 0.006 * len(want)
+
+
 def test_packing(spark):
     rng = np.random.default_rng(0)
     for _ in range(100):

@@ -1,10 +1,9 @@
 """Fuzzy line deduplication by MinHash, in DataFrame functions only.
 
 A line's set holds its character shingles: every SHINGLE consecutive characters, case folded. Lines
-equal but for case and outer blanks are one. Signatures are minima of shingle hashes under
-BANDS x ROWS xor masks (for random hashes, the element nearest a random point in the xor metric is
-a fair draw from the set), taken over the shingles at word starts and, in unbroken runs longer than
-RUN, at every place; lines that agree on all ROWS minima of a band are candidates, at a similarity
+equal but for case and outer blanks are one. Signatures are minima of ROWS shingle hashes under
+BANDS xor masks each (for random hashes, the element nearest a random point in the xor metric is
+a fair draw from the set), taken over all shingles, as links are; lines that agree on all ROWS minima of a band are candidates, at a similarity
 of 0.8 between these found with a chance of 0.996. Each candidate is verified by the exact Jaccard
 similarity of all shingles (as 64-bit hashes) of both lines, links become components, and of a component the first
 line by (doc_id, line number) stays.
@@ -34,14 +33,14 @@ from voxloom.llm.components import connected_components
 from voxloom.llm.workspace import Workspace
 
 SHINGLE = 6
-RUN = 12
 BANDS = 14
 ROWS = 5
 ROUNDS = 3
 PERCENT = 80
 SKETCH = 1 << 17
 BLOCK = 512
-_MASKS = [random.Random(f"line-{k}").getrandbits(63) for k in range(BANDS * ROWS)]
+# the first four bits differ from band to band, so that bands draw from different parts of the hashes of a row
+_MASKS = [(b % 16 - 8) * (1 << 60) + random.Random(f"line-{b * ROWS + r}").getrandbits(60) for b in range(BANDS) for r in range(ROWS)]
 
 
 def normal_form(line: Column) -> Column:
@@ -54,11 +53,6 @@ def shingles(normal: Column) -> Column:
     return F.when(F.length(normal) < SHINGLE, F.array(normal)).otherwise(F.regexp_extract_all(normal, F.lit(r"(?s)(?=(.{%d}))." % SHINGLE), F.lit(1)))
 
 
-def signed_shingles(normal: Column) -> Column:
-    """The shingles that signatures are drawn from: one at each word start, all in runs longer than RUN."""
-    return F.regexp_extract_all(normal, F.lit(r"(?s)(?=(\S.{0,%d}))(?:\S{1,%d}+(?!\S)\s*|\S)" % (SHINGLE - 1, RUN)), F.lit(1))
-
-
 def line_id(normal: Column) -> Column:
     return F.xxhash64(normal, F.lit(17))
 
@@ -77,8 +71,10 @@ def bands_of(occurrences: DataFrame) -> DataFrame:
     """
     texts = occurrences.select("line", "normal").dropDuplicates(["line"])
     # hashed inside the array: exploded rows then carry numbers, not strings
-    hashed = texts.select("line", F.explode(F.transform(signed_shingles(F.col("normal")), lambda s: F.xxhash64(s))).alias("h"))
-    minima = hashed.groupBy("line").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(_MASKS)])
+    hashed = texts.select("line", F.explode(hashed_shingles(F.col("normal"))).alias("h"))
+    # every row has a hash of its own: minima of one hash under many masks fall on the same few shingles
+    hashed = hashed.select("line", *[F.xxhash64("h", F.lit(r)).alias(f"h{r}") for r in range(ROWS)])
+    minima = hashed.groupBy("line").agg(*[F.min(F.col(f"h{k % ROWS}").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(_MASKS)])
     bands = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])
     return minima.select("line", F.explode(bands).alias("band"))
 
