@@ -11,6 +11,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from voxloom.llm import decontaminate, licenses, line_dedup, ngram_join, packing, quality, queries, secrets, suffix_tree, vafile, warc
 from voxloom.llm.workspace import Workspace
@@ -121,6 +122,26 @@ def test_suffix_tree_distribution_sums_to_one(spark):
         assert abs((10 ** tree.log10(keys)).sum() - 1) < 1e-9
 
 
+def test_suffix_tree_keeps_every_state(spark, monkeypatch):
+    """More divergent contexts than 60,000: all are states, and scores don't depend on the blocks the tree is read in."""
+    n = 140_000
+    rows = spark.range(n).select((F.col("id") * 2654435761 % 2**35).alias("k"), F.pmod(F.xxhash64("id"), F.lit(200)).cast("long").alias("sym"))
+    # three last bytes of their own, each with one next symbol 40 times: nearly every one diverges from its parent
+    key = F.shiftleft(F.col("k"), 8).bitwiseOR(F.col("sym"))
+    with Workspace(spark, "t") as ws:
+        grams = ws.table(rows.select(key.alias("key"), F.lit(40).cast("long").alias("n")), "g")
+        tree = suffix_tree.smoothed_tree(ws, grams)
+        assert tree.where("depth = 3").select("ctx").distinct().count() > 60_000
+    rng = random.Random(8)
+    texts = [sentence(rng, 40) for _ in range(60)] * 3 + [None, ""]
+    whole = {r["doc_id"]: r for r in suffix_tree.score_documents(docs(spark, texts)).collect()}
+    monkeypatch.setattr(suffix_tree, "BLOCK_ROWS", 300)
+    split = {r["doc_id"]: r for r in suffix_tree.score_documents(docs(spark, texts)).collect()}
+    assert whole.keys() == split.keys()
+    for i, r in whole.items():
+        assert abs(r["score"] - split[i]["score"]) < 1e-6 and r[:6] == split[i][:6]
+
+
 def test_quality(spark):
     rng = random.Random(4)
     good = [sentence(rng, 80) + "." for _ in range(150)]

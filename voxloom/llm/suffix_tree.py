@@ -4,8 +4,9 @@ Symbols are the UTF-8 bytes of the tokens, one space between tokens and a line f
 token, so a text's probability is a product over bytes and every token, known or not, has one.
 Contexts have up to DEPTH bytes and may reach over a token's border. A context becomes a state if
 its next-symbol distribution diverges from its parent's by at least MIN_GAIN nats over all its
-occurrences; the MAX_STATES most divergent ones and all their suffixes are kept, which bounds the
-broadcast model. A distribution is smoothed by its parent's, weighted SMOOTHING, down to a
+occurrences; all such states and their suffixes are kept, so the model grows with the training
+texts. It stays a table, divided by the last two bytes of the contexts into blocks of about
+BLOCK_ROWS rows; blocks are broadcast and scored one after the other. A distribution is smoothed by its parent's, weighted SMOOTHING, down to a
 uniform one; the longest suffix state of the symbols before a symbol gives its probability.
 
 Counts cover all training texts: tasks count (context, symbol) keys of all their texts, sums go by
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ from voxloom.llm.workspace import Workspace
 DEPTH = 5
 MIN_COUNT = 8
 MIN_GAIN = 12.0
-MAX_STATES = 60_000
+BLOCK_ROWS = 2_000_000
 SMOOTHING = 4.0
 FREQUENT = 200_000
 SCORE_BYTES = 4 << 20
@@ -135,8 +137,7 @@ def smoothed_tree(ws: Workspace, grams: DataFrame) -> DataFrame:
     for d in range(1, DEPTH + 1):
         tested = levels[d].where(F.col("all") >= MIN_COUNT).groupBy("ctx").agg(gain.alias("gain")).where(F.col("gain") >= MIN_GAIN).select(F.lit(d).alias("depth"), "ctx", "gain")
         states = tested if states is None else states.unionAll(tested)
-    states = ws.table(states.orderBy(F.desc("gain"), "depth", "ctx").limit(MAX_STATES), "states")
-    kept = states.select("depth", "ctx")
+    kept = ws.table(states, "states").select("depth", "ctx")
     closed = kept
     for d in range(1, DEPTH):
         closed = closed.unionAll(kept.where(F.col("depth") > d).select(F.lit(d).alias("depth"), F.col("ctx").bitwiseAND(F.lit((1 << (8 * d)) - 1)).alias("ctx")))
@@ -149,8 +150,32 @@ def smoothed_tree(ws: Workspace, grams: DataFrame) -> DataFrame:
     return ws.table(out, "tree")
 
 
+def _group() -> F.Column:
+    """The last two bytes of a context: all its suffixes but the root and those of one byte share them."""
+    return F.col("ctx").bitwiseAND(F.lit(0xFFFF)).cast("int")
+
+
+def blocks_of(tree: DataFrame) -> list[list[int]]:
+    """Two-byte groups, packed in order into blocks of at most BLOCK_ROWS rows of the tree, or of one group."""
+    sizes = {r["g"]: r["n"] for r in tree.where("depth >= 2").groupBy(_group().alias("g")).agg(F.count("*").alias("n")).collect()}
+    blocks, size = [[]], 0
+    for g in range(1 << 16):
+        n = sizes.get(g, 0)
+        if blocks[-1] and size + n > BLOCK_ROWS:
+            blocks.append([])
+            size = 0
+        blocks[-1].append(g)
+        size += n
+    return blocks
+
+
+def block_rows(tree: DataFrame, groups: list[int]) -> DataFrame:
+    """The rows of the tree that keys whose context ends in one of the groups, which follow each other, can need."""
+    return tree.where((F.col("depth") < 2) | _group().between(groups[0], groups[-1]))
+
+
 class SuffixTree:
-    """The kept states as hash tables over packed contexts; bounded by MAX_STATES x DEPTH states."""
+    """Kept states of a block as sorted tables over packed contexts."""
 
     def __init__(self, depth: np.ndarray, ctx: np.ndarray, sym: np.ndarray, logp: np.ndarray, logback: np.ndarray):
         self.grams, self.states = [], []
@@ -192,13 +217,18 @@ class _Scorer:
 
     BITS = 22
 
-    def __init__(self, tree: SuffixTree):
-        self.tree = tree
+    def __init__(self, tree: SuffixTree, groups: list[int]):
+        self.tree, self.low, self.high = tree, groups[0], groups[-1]
         self.key = np.full(1 << self.BITS, np.uint64(0xFFFFFFFFFFFFFFFF))
         self.value = np.zeros(1 << self.BITS)
 
     def scores(self, texts: list[list[bytes]]) -> np.ndarray:
+        """For each text the sum over the places whose context is of this block."""
         keys, text = _keys(*_stream(texts))
+        if self.low > 0 or self.high < 0xFFFF:
+            group = (keys >> np.uint64(8)) & np.uint64(0xFFFF)
+            own = (group >= self.low) & (group <= self.high)
+            keys, text = keys[own], text[own]
         slot = (mix(keys) >> np.uint64(64 - self.BITS)).astype(np.int64)
         value = self.value[slot]
         miss = np.flatnonzero(self.key[slot] != keys)
@@ -212,6 +242,19 @@ class _Scorer:
         return np.bincount(text, value, len(texts))
 
 
+def _pieces(column: list[str | None]) -> Iterator[tuple[int, int, list[list[bytes]]]]:
+    """(from, to, tokens of each text) over a batch, about SCORE_BYTES of text each."""
+    at = 0
+    while at < len(column):
+        to, size, texts = at, 0, []
+        while to < len(column) and size < SCORE_BYTES:
+            texts.append(_tokens(column[to]))
+            size += len(column[to] or "")
+            to += 1
+        yield at, to, texts
+        at = to
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c) over all rows of docs; words as UTF-8 bytes."""
 
@@ -248,22 +291,25 @@ def score_documents(docs: DataFrame) -> DataFrame:
         frequent = {w: i for i, w in enumerate(common.column("word").to_pylist())}
         logs = np.array([base(c) for c in common.column("c").to_pylist()] + [0.0])
         grams = ws.table(count_symbols(train), "grams")
-        t = smoothed_tree(ws, grams).toArrow()
-        tree = SuffixTree(*(t.column(c).to_numpy() for c in ("depth", "ctx", "sym", "logp", "logback")))
-        model = spark.sparkContext.broadcast((frequent, logs, tree))
+        tree = smoothed_tree(ws, grams)
+        blocks = blocks_of(tree)
+        # rows are numbered once; where several passes read them, the numbers must be the same in each
+        rows = rows.withColumn("row", F.monotonically_increasing_id())
+        if len(blocks) > 1:
+            rows = ws.table(rows, "rows")
+
+        def broadcast(groups: list[int], *more):
+            t = block_rows(tree, groups).toArrow()
+            return spark.sparkContext.broadcast((SuffixTree(*(t.column(c).to_numpy() for c in ("depth", "ctx", "sym", "logp", "logback"))), groups, *more))
+
+        model = broadcast(blocks[0], frequent, logs)
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, value, states = model.value
-            scorer = _Scorer(states)
+            states, groups, known, value = model.value
+            scorer = _Scorer(states, groups)
             for batch in batches:
-                ids, column = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-                at = 0
-                while at < len(ids):
-                    to, size, texts = at, 0, []
-                    while to < len(ids) and size < SCORE_BYTES:
-                        texts.append(_tokens(column[to]))
-                        size += len(column[to] or "")
-                        to += 1
+                ids, numbers = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
+                for at, to, texts in _pieces(batch.column("text").to_pylist()):
                     sums, counts, rare = [], [], []
                     for t in texts:
                         places = np.fromiter((known.get(w, -1) for w in t), np.int64, len(t))
@@ -272,11 +318,26 @@ def score_documents(docs: DataFrame) -> DataFrame:
                         counts.append(len(t) - sum(other.values()))
                         rare.append([{"word": w, "tf": c} for w, c in other.items()])
                     kind = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())]))
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[at:to], pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(counts, pa.int64()), pa.array(sums, pa.float64()), pa.array(scorer.scores(texts)), pa.array(rare, kind)], ["doc_id", "words", "known", "base", "score", "rare"])
-                    at = to
-
-        scored = rows.mapInArrow(score, "doc_id long, words long, known long, base double, score double, rare array<struct<word:binary,tf:long>>")
-        scored = ws.table(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[at:to], pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(counts, pa.int64()), pa.array(sums, pa.float64()), pa.array(scorer.scores(texts)), pa.array(rare, kind), pa.array(numbers[at:to], pa.int64())], ["doc_id", "words", "known", "base", "score", "rare", "row"])
+
+        scored = ws.table(rows.mapInArrow(score, "doc_id long, words long, known long, base double, score double, rare array<struct<word:binary,tf:long>>, row long"), "scored")
+        model.destroy()
+        parts = []
+        for k, groups in enumerate(blocks[1:]):
+            part = broadcast(groups)
+
+            def add(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
+                scorer = _Scorer(*part.value)
+                for batch in batches:
+                    numbers = batch.column("row").to_pylist()
+                    for at, to, texts in _pieces(batch.column("text").to_pylist()):
+                        yield pa.RecordBatch.from_arrays([pa.array(numbers[at:to], pa.int64()), pa.array(scorer.scores(texts))], ["row", "part"])
+
+            parts.append(ws.table(rows.select("row", "text").mapInArrow(add, "row long, part double"), f"part-{k}"))
+            part.destroy()
+        if parts:
+            sums = reduce(DataFrame.unionAll, parts).groupBy("row").agg(F.sum("part").alias("part"))
+            scored = ws.table(scored.join(sums, "row", "left").withColumn("score", F.col("score") + F.coalesce("part", F.lit(0.0))).drop("part"), "summed")
         asked = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.tf")
         met = asked.join(words, "word", "left")
         c = F.coalesce(F.col("c"), F.lit(0))
