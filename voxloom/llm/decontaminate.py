@@ -4,13 +4,13 @@ A fixed mask reads some token positions of a span and ignores the others, so a s
 at an ignored position leaves the seed hash whole; several masks make a miss unlikely. Seed hashes
 of the documents join those of the benchmark; every hit fixes a diagonal (document position minus
 item position), along which tokens are compared and the best stretch with at least `identity`
-equal tokens is measured.
+equal tokens is measured: the one of best sum or, if that is too short, the longest one.
 
 The benchmark side goes out in blocks of bounded tokens, so any benchmark size works; the documents
 are never shuffled. Counts and decisions use whole texts.
 
-Edge cases: null and empty texts and items match nothing; an item shorter than a mask is sought as
-a whole; repeated rows give their own results (a document row each, item rows with equal texts
+Edge cases: null and empty texts and items match nothing; an item shorter than
+MIN_TOKENS is sought as a whole, by masks of its length of which one fits however the substitutions fall; repeated rows give their own results (a document row each, item rows with equal texts
 each their own match); ties between diagonals go to the smallest position; empty tables give no matches.
 """
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from voxloom.llm.tokens import mix, slices, words_of
 
 # fixed values: the spaced seeds, 1 = token read, 0 = token ignored
-MASKS = ("1101100101101", "111010010111", "11100101011")
+MASKS = ("1101100101101", "111010010111", "11100101011", "110110111", "11101101", "1110111", "11011011")
 MIN_TOKENS = 13
 IDENTITY = 0.8
 BLOCK_TOKENS = 1_000_000
@@ -43,6 +44,13 @@ def _seed(hashed: np.ndarray, mask: str, salt: int) -> np.ndarray:
     return out
 
 
+def _whole_masks(n: int) -> list[str]:
+    """Masks of n tokens: positions go in turn to two groups more than substitutions are allowed, each mask ignores as many groups as there are substitutions."""
+    least = next(k for k in range(n + 1) if k >= IDENTITY * n)
+    groups = min(n - least + 2, n)
+    return ["".join("0" if k % groups in gone else "1" for k in range(n)) for gone in combinations(range(groups), n - least)]
+
+
 class _Bench:
     """A block of items with its seed hashes, sorted, behind a bitmap filter."""
 
@@ -53,12 +61,11 @@ class _Bench:
         self.ids = [i for i, _ in items]
         self.tokens = [hashed[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
         self.seeds: list[tuple[str, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        least = min(map(len, MASKS))
-        short = sorted({len(t) for t in self.tokens if 0 < len(t) < least})
-        for salt, mask in enumerate([*MASKS, *("1" * n for n in short)]):
+        short = sorted({len(t) for t in self.tokens if 0 < len(t) < MIN_TOKENS})
+        for salt, mask in enumerate([*MASKS, *(m for n in short for m in _whole_masks(n))]):
             keys, item, place = [], [], []
             for k, t in enumerate(self.tokens):
-                if salt < len(MASKS) or len(t) == len(mask):
+                if len(t) >= MIN_TOKENS if salt < len(MASKS) else len(t) == len(mask):
                     got = _seed(t, mask, salt)
                     keys.append(got)
                     item.append(np.full(len(got), k))
@@ -89,9 +96,12 @@ class _Bench:
         for d, i, shift in sorted(found):
             doc, it = hashed[first[d] : first[d + 1]], self.tokens[i]
             a, b = max(0, -shift), min(len(it), len(doc) - shift)
-            got = _stretch(doc[a + shift : b + shift] == it[a:b])
-            start, length, equal = got
-            if length >= min(MIN_TOKENS, len(it)) and equal >= IDENTITY * length and ((d, i) not in best or equal > best[d, i][5]):
+            same = doc[a + shift : b + shift] == it[a:b]
+            least = min(MIN_TOKENS, len(it))
+            start, length, equal = _stretch(same)
+            if length < least:
+                start, length, equal = _longest(same)
+            if length >= least and ((d, i) not in best or equal > best[d, i][5]):
                 best[d, i] = (d, i, a + start + shift, a + start, length, equal, len(it))
         yield from best.values()
 
@@ -106,6 +116,19 @@ def _stretch(equal: np.ndarray) -> tuple[int, int, int]:
     return start, end - start, int(equal[start:end].sum())
 
 
+def _longest(equal: np.ndarray) -> tuple[int, int, int]:
+    """(start, length, equal tokens) of the longest stretch of which at least IDENTITY are equal, the first of them."""
+    part = round(IDENTITY * 100)
+    total = np.concatenate([[0], np.cumsum(np.where(equal, 100 - part, -part))])
+    # for every end the first place where the running sum was as low: lows only fall, so they are searched
+    low = np.minimum.accumulate(total)
+    first = np.searchsorted(-low, -total, "left")
+    length = np.maximum(np.arange(len(total)) - first, 0)
+    end = int(np.argmax(length))
+    start = end - int(length[end])
+    return start, end - start, int(equal[start:end].sum())
+
+
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """Items in blocks of at most BLOCK_TOKENS words (an item at least), streamed through the driver one block at a time."""
     block, size = [], 0
