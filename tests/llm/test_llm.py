@@ -243,6 +243,29 @@ def test_secrets(spark):
     assert got[5]["spans"] == "" and got[8]["spans"] == ""
 
 
+def test_secrets_after_separators(spark):
+    """Hex values behind a key, whatever its separator, and tokens beside a harmless word."""
+    rng, texts, values = random.Random(17), [], []
+    bits = lambda w: -sum(c / 20 * math.log2(c / 20) for c in Counter(w).values())
+    for n in (20, 24, 31, 32, 40, 64):
+        for digits in ("0123456789ABCDEF", "0123456789abcdef"):
+            for before in ("KEY=", "client-key=", "x_", "a/b/", "-", "+"):
+                value = ""
+                while not any(bits(value[k : k + 20]) > 3.01 for k in range(len(value) - 19)) or not set(value) & set("0123456789"):
+                    value = "".join(rng.choice(digits) for _ in range(n))
+                texts.append(f"see {before}{value} there")
+                values.append(value)
+    token = "q7Zp2Lx9Vb4Nw8Rt3Ky6Mh1Jd5Gf0Sc"
+    texts += [f"{token}_example_value", "see sha256-" + "3f9c0a7be1d25846" * 4, "example_key_0123456789_abcdefghij"]
+    got = [r for r in secrets.secret_report(docs(spark, texts)).collect()]
+    for r in got[: len(values)]:
+        start = texts[r["doc_id"]].index(values[r["doc_id"]])
+        spans = [x.split(":") for x in r["spans"].split(",") if x]
+        assert any(int(a) < start + len(values[r["doc_id"]]) and int(b) > start for _, a, b in spans), texts[r["doc_id"]]
+    assert got[len(values)]["spans"].startswith("window_base64:0:")
+    assert got[len(values) + 1]["spans"] == "hex:11:75" and got[len(values) + 2]["spans"] == ""
+
+
 def test_line_dedup_long_runs(spark):
     """Lines that only begin alike stay; near copies without blanks are found; short lines are their own shingles."""
     run = "".join(chr(0x4E00 + 37 * k % 997) for k in range(120))

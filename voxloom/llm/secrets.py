@@ -4,7 +4,8 @@ Patterns find assignments, access ids and long hex runs. The method adds candida
 of one character class with a digit, in which some window of WINDOW characters has a Shannon
 entropy of the class's threshold or more. Symbol counts of the window move with it, one symbol in and
 one out, so a string costs one pass whatever the window. Strings on the allow list, and those inside a
-pattern's span, are not added.
+pattern's span, are not added; a harmless word counts as one symbol repeated, and leaves the rest of its run as it is.
+A hex run may stand after and before separators, so the value of KEY=value is measured by itself.
 
 Everything is one narrow projection: no shuffle, no limit on a text's length. Offsets are code points.
 
@@ -30,11 +31,12 @@ HEX = r"[0-9a-f]{32,}"
 # fixed values: class, pattern of a candidate run, its alphabet, least bits of entropy a window must have
 WINDOW = 20
 CLASSES = (
-    ("window_hex", r"(?<![A-Za-z0-9+/_=-])[0-9a-fA-F]{20,}(?![A-Za-z0-9+/_=-])", "0123456789abcdefABCDEF", 3.0),
+    ("window_hex", r"(?<![A-Za-z0-9])(?<!(?i:sha(?:1|256|384|512))-)[0-9a-fA-F]{20,}(?![A-Za-z0-9])", "0123456789abcdefABCDEF", 3.0),
     ("window_base64", r"[A-Za-z0-9+/_=-]{20,}", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.9),
 )
-# fixed values: strings that look random and are known to be harmless
-ALLOWED = r"(?i)EXAMPLE|0123456789|abcdefghij|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^(sha(1|256|384|512)-|data:|iVBORw0KGgo)|^[^0-9]*$"
+# fixed values: strings that look random and are known to be harmless, as words in a run and as whole runs
+HARMLESS = ("EXAMPLE", "0123456789", "abcdefghij")
+ALLOWED = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^(sha(1|256|384|512)-|data:|iVBORw0KGgo)|^[^0-9]*$"
 KINDS = ("assign", "access", "hex", *(c[0] for c in CLASSES))
 _SPAN = "array<struct<start:bigint,rank:int,stop:bigint,kind:string,found:string>>"
 
@@ -56,7 +58,10 @@ def _located(text: Column, pattern: str, kind: str, group: Column | None = None,
 
 def _entropic(found: Column, alphabet: str, bits: float) -> Column:
     """struct(first, last): starts of the first and the last window of at least `bits` entropy; null if there is none."""
-    letters = F.split(found, "")
+    plain = found
+    for word in HARMLESS:
+        plain = F.regexp_replace(plain, f"(?i){word}", "0" * len(word))
+    letters = F.split(plain, "")
     place = F.transform(letters, lambda ch: F.position(ch, F.lit(alphabet)) - 1)
     weight = lambda n: F.when(n > 1, n * F.log2(n)).otherwise(F.lit(0.0))
     limit = WINDOW * (math.log2(WINDOW) - bits) + 1e-9
@@ -75,8 +80,8 @@ def _entropic(found: Column, alphabet: str, bits: float) -> Column:
         # incremental: only the entering and the leaving symbol change the sum of n log2 n
         mass = F.when(moved, s["mass"] + weight(a + 1) - weight(a) + F.when(out >= 0, weight(b - 1) - weight(b)).otherwise(0.0)).otherwise(s["mass"])
         counts = F.when(moved, F.transform(s["counts"], lambda v, k: v + F.when(k == into, 1.0).otherwise(0.0) - F.when(k == out, 1.0).otherwise(0.0))).otherwise(s["counts"])
-        hit = (i >= WINDOW - 1) & (mass <= limit)
         at = i - (WINDOW - 1)
+        hit = (i >= WINDOW - 1) & (mass <= limit)
         return F.struct(counts.alias("counts"), mass.alias("mass"), F.when(hit, F.coalesce(s["first"], at)).otherwise(s["first"]).cast("int").alias("first"), F.when(hit, at).otherwise(s["last"]).cast("int").alias("last"))
 
     walk = lambda places: F.aggregate(F.sequence(F.lit(0), F.size(places) - 1), start, lambda s, i: step(s, i, places), lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
