@@ -349,6 +349,12 @@ def test_licenses(spark):
     assert got[0] == ("mit", "mit") and got[1][1] == "all-rights-reserved,cc-by-nc" and got[2] == ("unknown", "") and got[3] == got[4] == got[6] == ("none", "") and got[5][0] == "gpl-2.0"
 
 
+def test_licenses_names_and_unseen_words(spark):
+    texts = ["MIT License\n\nCopies of it", "Apache License, Version 2.0", "BSD 3-Clause License", "GNU General Public License v3.0", "zzqx redistributable qqvv", "She lost her fishing license"]
+    got = {r["doc_id"]: (r["license"], r["n_paragraphs"]) for r in licenses.license_report(docs(spark, texts)).collect()}
+    assert got == {0: ("mit", 1), 1: ("apache-2.0", 1), 2: ("bsd", 1), 3: ("gpl-3.0", 1), 4: ("unknown", 1), 5: ("unknown", 1)}
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql_twin(spark, name):
     con = duckdb.connect()
