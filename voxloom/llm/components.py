@@ -1,9 +1,9 @@
 """Connected components by alternating large-star and small-star steps on DataFrames.
 
 The published two-step scheme: each step links every node to the least node of its neighbourhood;
-edges shrink to stars after few rounds. All grouping is by partial aggregates (min), so a node
-with a third of all edges costs no task more than its share; each round is written to the shared
-folder, so lineage stays flat.
+edges shrink to stars after few rounds. Least nodes come from partial aggregates; the join that
+moves a node's neighbours is dealt out by SPREAD parts of every node, so a node with a third of all
+edges is met in several tasks. Each round is written to the shared folder, so lineage stays flat.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from voxloom.llm.workspace import Workspace
 
+SPREAD = 8
+
 
 def _starred(edges: DataFrame, large: bool) -> DataFrame:
     """Edges (u, v) with u > v. large: each node's greater neighbours move to its least one."""
@@ -21,11 +23,13 @@ def _starred(edges: DataFrame, large: bool) -> DataFrame:
     else:
         both = edges.select("u", "v")
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = both.join(least, "u")
     if large:
-        moved = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # a node that is its own least keeps its neighbours: such edges, hot centres among them, need no join
+        moved = both.where("v > u").withColumn("part", F.pmod(F.xxhash64("v"), F.lit(SPREAD)))
+        spread = least.where("m < u").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+        moved = moved.join(spread, ["u", "part"], "left").select(F.col("v").alias("u"), F.coalesce("m", "u").alias("v"))
     else:
-        moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
+        moved = both.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
     return moved.where("u > v").distinct()
 
 

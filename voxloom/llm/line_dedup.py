@@ -1,25 +1,24 @@
 """Fuzzy line deduplication by MinHash, in DataFrame functions only.
 
-A line's set holds its character shingles: every SHINGLE consecutive characters, case folded. Lines
-equal but for case and outer blanks are one. Signatures are minima of ROWS shingle hashes under
-BANDS xor masks each (for random hashes, the element nearest a random point in the xor metric is
-a fair draw from the set), taken over all shingles, as links are; lines that agree on all ROWS minima of a band are candidates, at a similarity
-of 0.8 between these found with a chance of 0.996. Each candidate is verified by the exact Jaccard
-similarity of all shingles (as 64-bit hashes) of both lines, links become components, and of a component the first
-line by (doc_id, line number) stays.
-
-Leaders come first, to contract: every line meets one leader, the one it shares most buckets with;
-then, ROUNDS - 1 times, every bucket that holds several components draws another leader, which the
-lines of the other components meet. The lines of buckets that still hold several components are
-finished exactly: of all their pairs across components those are verified that set sizes and
-prefixes (rarest shingles first) allow to be similar enough, so no bucket keeps an unverified pair.
+A line's set holds its character shingles: every SHINGLE consecutive UTF-16 units, case folded. Lines
+equal but for case and outer blanks are one. Of all shingles MINIMA minima are drawn: of HASHES hashes under
+xor masks (the element nearest a random point in the xor metric is a fair draw from the set). BANDS
+bands, each of ROWS of the minima, overlap in single minima, which spares most of the draws: lines that agree
+on a whole band are candidates, at a similarity of 0.8 with a chance of 0.97, of 0.85 of 0.99. Each
+candidate is verified by the exact Jaccard similarity of all shingles (as 64-bit hashes) of both lines,
+links become components, and of a component the first line by (doc_id, text hash, line number) stays.
+
+Every bucket has a leader, its least line, which all lines of other components meet; then the leader
+leaves the bucket, and a bucket whose lines are all of one component is done. After ROUNDS rounds the
+lines of buckets still open are finished exactly: of all their pairs across components those are verified that set
+sizes and prefixes (rarest shingles first) allow to be similar enough, so no bucket keeps an unverified pair.
 A frequent shingle's lines are met in blocks of BLOCK, spread over the tasks.
 
 Edge cases: a null text has no lines; blank lines always stay and are no duplicates; a line shorter
-than SHINGLE is its own shingle; equal (doc_id, line number) of rows that repeat an id are told apart
-by no column, so such rows lose the same lines; a document whose lines all go is dropped by
+than SHINGLE is its own shingle; rows that repeat an id but differ in text are documents of their own; rows
+equal in id and text are one document, reported alike and kept once; a document whose lines all go is dropped by
 dedup_documents, one that never had a line that isn't blank stays; a null doc_id is a document of
-its own value, last in order; empty tables give empty results; further columns are kept.
+its own value, last in order; empty tables give empty results; further columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,14 +32,34 @@ from voxloom.llm.components import connected_components
 from voxloom.llm.workspace import Workspace
 
 SHINGLE = 6
+MINIMA = 24
+HASHES = 3
 BANDS = 14
 ROWS = 5
 ROUNDS = 3
 PERCENT = 80
 SKETCH = 1 << 17
 BLOCK = 512
-# the first four bits differ from band to band, so that bands draw from different parts of the hashes of a row
-_MASKS = [(b % 16 - 8) * (1 << 60) + random.Random(f"line-{b * ROWS + r}").getrandbits(60) for b in range(BANDS) for r in range(ROWS)]
+# shingles hashed side by side in one row
+STRIDE = 4
+
+
+def _masks() -> list[int]:
+    """One mask for each minimum; those of one hash differ in their first bits, so they draw from different parts of it."""
+    each = MINIMA // HASHES
+    return [(k // HASHES - each // 2) * (1 << 61) + random.Random(f"line-{k}").getrandbits(61) for k in range(MINIMA)]
+
+
+def _bands() -> list[list[int]]:
+    """BANDS choices of ROWS minima which overlap as little as a greedy search finds."""
+    draw, bands, used = random.Random("bands"), [], [0] * MINIMA
+    for _ in range(BANDS):
+        tries = [sorted(draw.sample(range(MINIMA), ROWS)) for _ in range(300)]
+        best = min(tries, key=lambda t: (sum(len(set(t) & set(b)) ** 2 for b in bands), sum(used[i] for i in t)))
+        bands.append(best)
+        for i in best:
+            used[i] += 1
+    return bands
 
 
 def normal_form(line: Column) -> Column:
@@ -48,45 +67,52 @@ def normal_form(line: Column) -> Column:
     return F.btrim(F.lower(line), F.lit(" \t\r\x0b\x0c"))
 
 
-def shingles(normal: Column) -> Column:
-    """All shingles of a line, repeats included."""
-    return F.when(F.length(normal) < SHINGLE, F.array(normal)).otherwise(F.regexp_extract_all(normal, F.lit(r"(?s)(?=(.{%d}))." % SHINGLE), F.lit(1)))
-
-
 def line_id(normal: Column) -> Column:
     return F.xxhash64(normal, F.lit(17))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, normal) of every line that isn't blank."""
-    lines = docs.select("doc_id", F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
-    return lines.select("doc_id", "line_no", normal_form(F.col("line")).alias("normal")).where("normal <> ''")
+    """(doc_id, th, line_no, normal) of every line that isn't blank; th: hash of the whole text."""
+    lines = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
+    return lines.select("doc_id", "th", "line_no", normal_form(F.col("line")).alias("normal")).where("normal <> ''")
+
+
+# units holds two bytes for each character; a substring of binary needs no search for its place
+_LAST = f"greatest(0, cast(octet_length(units) / 2 as int) - {SHINGLE})"
+
+
+def _shingle(at: str) -> str:
+    return f"xxhash64(substring(units, 2 * ({at}) + 1, {2 * SHINGLE}))"
+
 
+def hashed_shingles(units: str = "units") -> Column:
+    """Hashes of all shingles, repeats included; units must be a stored column, or it is made anew for each shingle."""
+    return F.expr(f"transform(sequence(0, {_LAST}), i -> {_shingle('i')})".replace("units", units))
 
-def bands_of(occurrences: DataFrame) -> DataFrame:
-    """(line, band): a row for each line and band, its ROWS minima hashed together.
+
+def signed_lines(occurrences: DataFrame) -> DataFrame:
+    """(line, units, bands): a row for each different line, its text in two-byte units and the hash of each band.
 
     Repeats go before and after the exchange by line, and minima are grouped where it left the
     texts, so a frequent line fills no task and shingles are never shuffled.
     """
-    texts = occurrences.select("line", "normal").dropDuplicates(["line"])
-    # hashed inside the array: exploded rows then carry numbers, not strings
-    hashed = texts.select("line", F.explode(hashed_shingles(F.col("normal"))).alias("h"))
-    # every row has a hash of its own: minima of one hash under many masks fall on the same few shingles
-    hashed = hashed.select("line", *[F.xxhash64("h", F.lit(r)).alias(f"h{r}") for r in range(ROWS)])
-    minima = hashed.groupBy("line").agg(*[F.min(F.col(f"h{k % ROWS}").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(_MASKS)])
-    bands = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])
-    return minima.select("line", F.explode(bands).alias("band"))
-
-
-def _shared(bands: DataFrame) -> DataFrame:
-    """(band, line, leader) of the buckets that hold several lines; leader: the least of them."""
-    heads = bands.groupBy("band").agg(F.min("line").alias("leader"), F.max("line").alias("last")).where("leader <> last")
-    return bands.join(heads.drop("last"), "band")
+    texts = occurrences.select("line", "normal").dropDuplicates(["line"]).select("line", F.expr("encode(normal, 'UTF-16BE')").alias("units"))
+    places = texts.select("line", "units", F.expr(f"explode(sequence(0, {_LAST}, {STRIDE}))").alias("i"))
+    hashed = places.select("line", *[F.expr(_shingle(f"least(i + {c}, {_LAST})")).alias(f"s{c}") for c in range(STRIDE)])
+    # every group of minima has a hash of its own: minima of one hash under many masks fall on the same few shingles
+    hashed = hashed.select("line", *[(F.col(f"s{c}") if h == 0 else F.xxhash64(f"s{c}", F.lit(h))).alias(f"h{c}_{h}") for c in range(STRIDE) for h in range(HASHES)])
+    nearest = [F.least(*[F.col(f"h{c}_{k % HASHES}").bitwiseXOR(F.lit(m)) for c in range(STRIDE)]) for k, m in enumerate(_masks())]
+    minima = hashed.groupBy("line").agg(*[F.min(x).alias(f"m{k}") for k, x in enumerate(nearest)])
+    bands = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{k}") for k in rows]) for b, rows in enumerate(_bands())])
+    return texts.join(minima.select("line", bands.alias("bands")), "line")
 
 
-def hashed_shingles(normal: Column) -> Column:
-    return F.transform(shingles(normal), lambda s: F.xxhash64(s))
+def _shared(ws: Workspace, signed: DataFrame) -> DataFrame:
+    """(band, line) of the buckets that hold several lines."""
+    bands = signed.select("line", F.explode("bands").alias("band"))
+    several = bands.groupBy("band").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high").select("band")
+    # a table of its own: the join then meets two plain exchanges, of which a skewed one is split at run time
+    return ws.table(bands.join(ws.table(several, "several"), "band"), "shared")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -94,10 +120,10 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     Set sizes come with the texts: they rule pairs out before a set is made, and the union follows from the intersection.
     """
-    left = texts.select(F.col("line").alias("a"), F.col("normal").alias("x"), F.col("n").alias("nx"))
-    right = texts.select(F.col("line").alias("b"), F.col("normal").alias("y"), F.col("n").alias("ny"))
+    left = texts.select(F.col("line").alias("a"), F.col("units").alias("x"), F.col("n").alias("nx"))
+    right = texts.select(F.col("line").alias("b"), F.col("units").alias("y"), F.col("n").alias("ny"))
     near = F.lit(100) * F.least("nx", "ny") >= F.lit(PERCENT) * F.greatest("nx", "ny")
-    common = F.size(F.array_intersect(hashed_shingles(F.col("x")), hashed_shingles(F.col("y"))))
+    common = F.size(F.array_intersect(hashed_shingles("x"), hashed_shingles("y")))
     alike = F.lit(100 + PERCENT) * common >= F.lit(PERCENT) * (F.col("nx") + F.col("ny"))
     return pairs.join(left, "a").join(right, "b").where(near & alike).select("a", "b").distinct()
 
@@ -108,7 +134,7 @@ def _left_over(ws: Workspace, lines: DataFrame, texts: DataFrame) -> DataFrame:
     Sets are ordered by how often their shingles' places of a sketch were seen, then by hash. Similar sets share an
     element among the first n - least + 1 of each, where least is what the similarity asks of a set of n.
     """
-    sets = lines.join(texts, "line").select("line", "component", "n", F.array_distinct(hashed_shingles(F.col("normal"))).alias("hs"))
+    sets = lines.join(texts, "line").select("line", "component", "n", F.array_distinct(hashed_shingles()).alias("hs"))
     sets = ws.table(sets, "left-sets")
     place = F.pmod(F.col("h"), F.lit(SKETCH))
     # bounded by SKETCH, so the order needs no exchange by shingle
@@ -131,74 +157,102 @@ def _left_over(ws: Workspace, lines: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.select(F.col("x.line").alias("a"), F.col("y.line").alias("b")).distinct()
 
 
-def _texts(docs: DataFrame, occurrences: DataFrame, lines: DataFrame) -> DataFrame:
-    """(line, normal, n) of the given lines, each read from the document that has it first; n: the size of its set."""
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no")
-    owners = occurrences.join(lines, "line", "left_semi").groupBy("line").agg(F.min(place).alias("at")).select(F.col("at.doc_id").alias("of"), "at.line_no")
-    wanted = owners.groupBy("of").agg(F.collect_list("line_no").alias("wanted"))
-    picked = F.transform(F.split("text", "\n", -1), lambda line, i: F.when(F.array_contains("wanted", i), line))
-    found = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of"))).select(F.explode(picked).alias("line")).where("line is not null")
-    normal = found.select(normal_form(F.col("line")).alias("normal"))
-    return normal.select(line_id(F.col("normal")).alias("line"), "normal", F.size(F.array_distinct(hashed_shingles(F.col("normal")))).alias("n"))
-
-
 def _labelled(shared: DataFrame, groups: DataFrame) -> DataFrame:
     """(band, line, component) of the rows of the buckets; a line without a link is its own component."""
-    return shared.join(groups.select(F.col("node").alias("line"), "component"), "line", "left").select("band", "line", F.coalesce("component", "line").alias("component"))
+    return shared.select("band", "line").join(groups.select(F.col("node").alias("line"), "component"), "line", "left").select("band", "line", F.coalesce("component", "line").alias("component"))
+
+
+def _near_labels(links: DataFrame) -> DataFrame:
+    """(node, component): the least line within two links. Lines of one label are connected, which is all that rounds need to skip their pairs."""
+    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("m"))
+    further = least.select(F.col("node").alias("m"), F.col("m").alias("further"))
+    return least.join(further, "m", "left").select("node", F.least("m", F.coalesce("further", "m")).alias("component"))
+
+
+def _open(ws: Workspace, labelled: DataFrame, name: str) -> DataFrame:
+    """The rows (band, line, component) of buckets of several components, with the bucket's leader."""
+    labelled = ws.table(labelled, f"{name}-all")
+    heads = labelled.groupBy("band").agg(F.min("line").alias("leader"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band", "leader")
+    return ws.table(labelled.join(ws.table(heads, f"{name}-heads"), "band"), name)
+
+
+def line_components(ws: Workspace, occurrences: DataFrame) -> DataFrame:
+    """(node, component) of the lines that have a link."""
+    signed = ws.table(signed_lines(occurrences), "signed")
+    shared = _shared(ws, signed)
+    texts = signed.select("line", "units").join(shared.select("line").distinct(), "line", "left_semi")
+    texts = ws.table(texts.select("line", "units"), "texts-units")
+    ws.drop("signed")
+    texts = ws.table(texts.select("line", "units", F.size(F.array_distinct(hashed_shingles())).alias("n")), "texts")
+    links, tried = None, None
+    now = shared.select("band", "line", F.col("line").alias("component"))
+    for k in range(ROUNDS):
+        now = _open(ws, now, f"open-{k}")
+        of_leader = now.where("line = leader").select("band", F.col("component").alias("of"))
+        pairs = now.join(of_leader, "band").where("component <> of").select(F.greatest("line", "leader").alias("a"), F.least("line", "leader").alias("b")).distinct()
+        pairs = ws.table(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), f"pairs-{k}")
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        found = ws.table(_verified(pairs, texts), f"found-{k}")
+        links = found if links is None else links.unionAll(found)
+        now = _labelled(now.where("line <> leader"), ws.table(_near_labels(links), f"labels-{k}"))
+    left = ws.table(_open(ws, now, "open-left").select("line", "component").distinct(), "left")
+    links = links.unionAll(ws.table(_verified(_left_over(ws, left, texts).join(tried, ["a", "b"], "left_anti"), texts), "found-left"))
+    return ws.table(connected_components(ws, links, "cc"), "groups")
 
 
 def duplicate_lines(ws: Workspace, docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no) of every line that goes."""
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no")
-    occurrences = lines_of(docs).select("doc_id", "line_no", line_id(F.col("normal")).alias("line"), "normal")
-    shared = ws.table(_shared(ws.table(bands_of(occurrences), "bands")), "shared")
-    ws.drop("bands")
-    small = ws.table(occurrences.drop("normal"), "occurrences")
-    texts = ws.table(_texts(docs, small, shared.select("line").distinct()), "texts")
-    met = shared.where("line <> leader").groupBy("line", "leader").agg(F.count("*").alias("n"))
-    best = met.groupBy("line").agg(F.max(F.struct("n", "leader")).alias("m")).select(F.col("line").alias("a"), F.col("m.leader").alias("b"))
-    links = ws.table(_verified(best, texts), "found-0")
-    groups = ws.table(connected_components(ws, links, "cc-0"), "groups-0")
-    for k in range(1, ROUNDS):
-        labelled = _labelled(shared, groups)
-        # the draw differs by bucket and round; its line and component come along in the least struct
-        draw = F.min(F.struct(F.xxhash64("band", "line", F.lit(k)), F.col("line").alias("leader"), F.col("component").alias("of"))).alias("head")
-        mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), draw).where("low <> high").select("band", "head.leader", "head.of")
-        pairs = labelled.join(mixed, "band").where("component <> of").select(F.greatest("line", "leader").alias("a"), F.least("line", "leader").alias("b")).distinct()
-        links = links.unionAll(ws.table(_verified(pairs, texts), f"found-{k}"))
-        groups = ws.table(connected_components(ws, links, f"cc-{k}"), f"groups-{k}")
-    labelled = _labelled(shared, groups)
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-    left = ws.table(labelled.join(mixed, "band").select("line", "component").distinct(), "left")
-    links = links.unionAll(ws.table(_verified(_left_over(ws, left, texts), texts), "found-left"))
-    groups = ws.table(connected_components(ws, links, "cc-left"), "groups-left")
-    named = small.join(groups.select(F.col("node").alias("line"), "component"), "line", "left").select("doc_id", "line_no", F.coalesce("component", "line").alias("component"))
+    """(doc_id, th, line_no) of every line that goes."""
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "line_no")
+    occurrences = lines_of(docs).select("doc_id", "th", "line_no", line_id(F.col("normal")).alias("line"), "normal")
+    groups = line_components(ws, occurrences)
+    named = occurrences.drop("normal").join(groups.select(F.col("node").alias("line"), "component"), "line", "left").select("doc_id", "th", "line_no", F.coalesce("component", "line").alias("component"))
     named = ws.table(named, "named")
-    first = named.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1")
-    gone = named.join(first, "component").where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no")))).select("doc_id", "line_no")
-    return ws.table(gone, "gone")
+    first = ws.table(named.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1"), "first")
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th")) & (F.col("line_no") == F.col("first.line_no"))
+    return ws.table(named.join(first, "component").where(~kept).select("doc_id", "th", "line_no"), "gone")
+
+
+def _gone_of(ws: Workspace, docs: DataFrame) -> DataFrame:
+    """(__of, __th, __gone): the numbers of the lines that go, for each document that loses any."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return duplicate_lines(ws, rows).groupBy(F.col("doc_id").alias("__of"), F.col("th").alias("__th")).agg(F.array_sort(F.collect_set("line_no")).alias("__gone"))
+
+
+def _same() -> Column:
+    return F.col("doc_id").cast("long").eqNullSafe(F.col("__of")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__th"))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_lines, n_dropped, dropped) for every row of docs; dropped: numbers of the lines that go, from 0."""
     with Workspace(docs.sparkSession, "lines") as ws:
-        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        gone = duplicate_lines(ws, rows).groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
-        sizes = rows.select("doc_id", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("n_lines"))
-        sizes = sizes.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-        joined = sizes.join(gone.withColumnRenamed("doc_id", "other"), F.col("doc_id").eqNullSafe(F.col("other")), "left").drop("other")
-        return ws.keep(joined.select("doc_id", "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).alias("n_dropped"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped")))
+        gone = _gone_of(ws, docs)
+        count = F.coalesce(F.greatest(F.size(F.split(F.col("text").cast("string"), "\n", -1)), F.lit(0)), F.lit(0))
+        sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th"), count.alias("n_lines"))
+        joined = sizes.join(gone, F.col("doc_id").eqNullSafe(F.col("__of")) & (F.col("th") == F.col("__th")), "left")
+        return ws.keep(joined.select("doc_id", "n_lines", F.coalesce(F.size("__gone"), F.lit(0)).alias("n_dropped"), F.coalesce("__gone", F.array().cast("array<int>")).alias("dropped")))
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
-    """docs with the duplicate lines cut out of text (and n_chars, if there is such a column, made to fit); documents left without a line go."""
+    """docs with the duplicate lines cut out of text (and n_chars, if there is such a column, made to fit).
+
+    Documents left without a line go; of rows equal in id and text one stays, whatever their further columns.
+    """
     with Workspace(docs.sparkSession, "lines") as ws:
-        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        gone = ws.keep(duplicate_lines(ws, rows).groupBy(F.col("doc_id").alias("__of")).agg(F.collect_set("line_no").alias("__gone")), "dropped")
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__of")), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("__gone", i)), "\n")
-    cut = joined.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept))
-    cut = cut.where(F.col("__gone").isNull() | (F.regexp_replace("text", r"\s+", "") != ""))
+        gone = ws.keep(_gone_of(ws, docs), "dropped")
+        ids = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64(F.col("text").cast("string")).alias("__text"))
+        repeated = ws.keep(ids.groupBy("__id", "__text").agg(F.count("*").alias("__n")).where("__n > 1 and __text <> xxhash64(cast(null as string))"), "repeated")
+    same_row = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__text"))
+    if repeated.limit(1).count():
+        once = docs.join(repeated, same_row, "left_semi").dropDuplicates(["doc_id", "text"])
+        docs = docs.join(repeated, same_row, "left_anti").unionByName(once)
+    # lines and places are bound once, so a long text costs as much as it has lines
+    lines = F.split(F.col("text"), "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
+    rest = F.transform(F.array(F.struct(lines.alias("lines"), kept.alias("kept"))), lambda x: F.array_join(F.transform(x["kept"], lambda i: F.get(x["lines"], i)), "\n"))
+    new_text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(rest[0])
+    cut = docs.join(gone, _same(), "left").withColumn("__text", new_text).where(F.col("__gone").isNull() | F.col("__text").rlike(r"\S"))
+    out = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": F.col("__text").alias("text")}
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+        out["n_chars"] = F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length("__text")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return cut.select(*out.values())

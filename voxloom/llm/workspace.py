@@ -17,12 +17,14 @@ _KEPT: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of this session; a private one only where none is configured (tests)."""
+    """The shared folder of this session; a private one only where none is configured and all runs in one process (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     own = spark.conf.get("spark.voxloom.scratch", None)
     if own is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         own = f"file://{tempfile.mkdtemp(prefix='spark-voxloom-')}"
         spark.conf.set("spark.voxloom.scratch", own)
         _KEPT.append((spark, own))
