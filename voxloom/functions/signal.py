@@ -69,9 +69,9 @@ def dc_offset(xs: Column) -> Column:
     return F.when(F.size(xs) > 0, _sum(xs) / F.size(xs)).otherwise(0.0)
 
 
-def frames(xs: Column, width: int, hop: int) -> Column:
-    """Windows of `width` samples every `hop`, last start excluded; empty if the array is no longer than one."""
-    last = F.size(xs) - width - 1
+def frames(xs: Column, width: int, hop: int, end_exclusive: bool = False) -> Column:
+    """Windows of `width` samples every `hop`, the last one only if its end may be the array's; empty if the array is too short."""
+    last = F.size(xs) - width - int(end_exclusive)
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(hop)), lambda i: F.slice(xs, i + 1, width))).otherwise(F.array().cast("array<array<double>>"))
 
 
@@ -92,6 +92,39 @@ def stability(levels: Column) -> Column:
     return F.when(F.size(levels) < 2, 1.0).when(mean == 0, 0.0).otherwise(F.greatest(F.lit(0.0), 1 - F.least(F.lit(1.0), spread / mean)))
 
 
+def snr_of_segment(xs: Column) -> Column:
+    """The 95/5 form for a cut segment: silence counts as 0 before a quiet percentile of 0 counts as 60."""
+    return F.when(rms(xs) == 0, 0.0).otherwise(snr(xs))
+
+
+def snr_after_enhancement(xs: Column) -> Column:
+    """The 95/5 form of an enhanced recording; 20 where it can't be measured (no samples, or samples that are null)."""
+    return F.when(F.coalesce(F.size(xs), F.lit(0)) <= 0, 20.0).when(F.exists(xs, lambda x: x.isNull()), 20.0).otherwise(snr(xs))
+
+
+def to_peak(xs: Column, peak: float = 0.95) -> Column:
+    """Scaled so that the greatest magnitude is `peak`; silence stays."""
+    top = F.array_max(magnitude(xs))
+    return F.transform(xs, lambda x: F.when(top > 0, x * (F.lit(peak) / top)).otherwise(x))
+
+
+def to_length(xs: Column, n: Column) -> Column:
+    """Cut or padded with zeros to n samples."""
+    return F.concat(F.slice(xs, 1, n), F.array_repeat(F.lit(0.0), F.greatest(F.lit(0), n - F.size(xs))))
+
+
+def mono(left: Column, right: Column) -> Column:
+    """Mean of two channels, as long as the shorter one."""
+    n = F.least(F.size(left), F.size(right))
+    return F.zip_with(F.slice(left, 1, n), F.slice(right, 1, n), lambda a, b: (a + b) / 2)
+
+
+def joined_with_gaps(parts: Column, gap: int) -> Column:
+    """Parts one after the other with `gap` zeros between them."""
+    silence_ = F.array_repeat(F.lit(0.0), gap)
+    return F.flatten(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(F.concat(silence_, p))))
+
+
 def clip_to_unit(xs: Column) -> Column:
     return F.transform(xs, lambda x: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x)))
 

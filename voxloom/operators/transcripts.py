@@ -9,9 +9,9 @@ from voxloom.functions import text as T
 
 
 def map_characters(segments: DataFrame, manual: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Segments with `character`: a manual mapping, else an alias in any case, else the speaker."""
+    """Segments with `character`: a manual mapping, else an alias in any case, else the speaker. Of several mappings of one speaker the least counts."""
     alias = aliases.select(F.lower("alias").alias("key"), F.col("character").alias("by_alias")).groupBy("key").agg(F.min("by_alias").alias("by_alias"))
-    hand = manual.select("speaker", F.col("character").alias("by_hand"))
+    hand = _one_each(manual.select("speaker", F.col("character").alias("by_hand")), "speaker", "by_hand")
     return segments.join(hand, "speaker", "left").join(alias, F.lower("speaker") == F.col("key"), "left").withColumn("character", F.coalesce("by_hand", "by_alias", "speaker")).drop("key", "by_hand", "by_alias")
 
 
@@ -37,7 +37,37 @@ def parse_references(lines: DataFrame) -> DataFrame:
 
 
 def unique_names(names: DataFrame, column: str, order: str) -> DataFrame:
-    """Clean names made unique by a numbered suffix from the second on."""
+    """names with `clean` and `unique_name`: in order, each takes its clean form or that with the first free `_n`.
+
+    Only names that differ by such endings can be in each other's way. Where all names of such a group are equal, the
+    place among them is the number; the few mixed groups are gone through in order, by row key and name alone.
+    """
     clean = names.withColumn("clean", T.clean_filename(F.col(column)))
+    root = F.regexp_replace("clean", r"(_[0-9]+)+$", "")
+    mixed = clean.groupBy(root.alias("root")).agg(F.min("clean").alias("low"), F.max("clean").alias("high")).where("low <> high").select("root")
+    rooted = clean.withColumn("root", root)
+    alone = rooted.join(mixed, "root", "left_anti")
     n = F.row_number().over(Window.partitionBy("clean").orderBy(order)) - 1
-    return clean.withColumn("n", n).withColumn("unique_name", F.when(F.col("n") > 0, F.concat_ws("_", "clean", F.col("n").cast("string"))).otherwise(F.col("clean"))).drop("n")
+    plain = alone.withColumn("unique_name", F.when(n > 0, F.concat_ws("_", "clean", n.cast("string"))).otherwise(F.col("clean"))).drop("root")
+
+    def first_free(group):
+        group = group.sort_values(order, kind="stable")
+        taken, at, out = set(), {}, []
+        for name in group["clean"]:
+            free, k = name, at.get(name, 0)
+            while free in taken:
+                k += 1
+                free = f"{name}_{k}"
+            at[name] = k
+            taken.add(free)
+            out.append(free)
+        return group.assign(unique_name=out)[[order, "unique_name"]]
+
+    keyed = rooted.join(mixed, "root", "left_semi").select("root", order, "clean")
+    named = keyed.groupBy("root").applyInPandas(first_free, f"`{order}` {names.schema[order].dataType.simpleString()}, unique_name string")
+    rest = clean.join(named, order)
+    return plain.unionByName(rest)
+
+
+def _one_each(rows: DataFrame, key: str, value: str) -> DataFrame:
+    return rows.groupBy(key).agg(F.min(value).alias(value))

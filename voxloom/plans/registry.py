@@ -158,7 +158,7 @@ def audio_issues(spark, sf_dir):
 
 
 @query(
-    """+ f AS (SELECT clip_id, list_transform(range(0, len(samples) - 4), lambda i: list_sum(list_transform(samples[i + 1 : i + 4], lambda x: x * x))) AS e,
+    """+ f AS (SELECT clip_id, list_transform(range(0, len(samples) - 3), lambda i: list_sum(list_transform(samples[i + 1 : i + 4], lambda x: x * x))) AS e,
       list_transform(range(0, len(samples) - 16, 8), lambda i: sqrt(list_sum(list_transform(samples[i + 1 : i + 16], lambda x: x * x)) / 16)) AS r FROM clip),
     q AS (SELECT clip_id, e, r, list_avg(r) AS mean, list_stddev_pop(r) AS sd, list_aggregate(e, 'quantile_cont', 0.3) AS p FROM f)
     SELECT clip_id, round(len(list_filter(e, lambda x: x > p))::DOUBLE / len(e), 6) AS speech_ratio, round(greatest(0.0, 1 - least(1.0, sd / mean)), 6) AS stability FROM q""",
@@ -166,7 +166,7 @@ def audio_issues(spark, sf_dir):
 )
 def energy_measures(spark, sf_dir):
     x = F.col("samples")
-    c = adapters.clips(spark, sf_dir).select("clip_id", S.energies(S.frames(x, 4, 1)).alias("e"), F.transform(S.frames(x, 16, 8), S.rms).alias("r"))
+    c = adapters.clips(spark, sf_dir).select("clip_id", S.energies(S.frames(x, 4, 1)).alias("e"), F.transform(S.frames(x, 16, 8, end_exclusive=True), S.rms).alias("r"))
     return c.select("clip_id", F.round(S.speech_ratio(F.col("e")), 6).alias("speech_ratio"), F.round(S.stability(F.col("r")), 6).alias("stability"))
 
 
@@ -344,8 +344,12 @@ def stream_sessions(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
+    from voxloom.plans import registry_clips  # noqa: F401
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from voxloom.plans import registry_clips  # noqa: F401
+
     return dict(_SQL)
