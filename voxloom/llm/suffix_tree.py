@@ -35,7 +35,7 @@ from voxloom.llm.workspace import Workspace
 DEPTH = 5
 MIN_COUNT = 8
 MIN_GAIN = 12.0
-BLOCK_ROWS = 2_000_000
+BLOCK_ROWS = 1_000_000
 SMOOTHING = 4.0
 FREQUENT = 200_000
 SCORE_BYTES = 4 << 20
@@ -215,7 +215,7 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.
 class _Scorer:
     """Scores batches: distinct keys walk the tree once a batch, every place then reads its key's value."""
 
-    BITS = 22
+    BITS = 20
 
     def __init__(self, tree: SuffixTree, groups: list[int]):
         self.tree, self.low, self.high = tree, groups[0], groups[-1]
@@ -276,6 +276,19 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _least_frequent(words: DataFrame) -> int:
+    """The least count at which at most FREQUENT words are left; from a histogram of a few hundred rows, not from sorted words."""
+    place = F.floor(8 * F.log2("c")).cast("int")
+    sizes = sorted(((r["p"], r["n"], r["least"]) for r in words.groupBy(place.alias("p")).agg(F.count("*").alias("n"), F.min("c").alias("least")).collect()), reverse=True)
+    total, least = 0, 1 << 62
+    for _, n, low in sizes:
+        total += n
+        if total > FREQUENT:
+            break
+        least = low
+    return least
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs."""
     spark = docs.sparkSession
@@ -287,7 +300,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         total = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
         n, v = total[0] + texts, total[1] + (1 if texts else 0)
         base = lambda c: float(np.log10((c + 0.1) / (n + 0.1 * (v + 1))))
-        common = words.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
+        common = words.where(F.col("c") >= _least_frequent(words)).toArrow()
         frequent = {w: i for i, w in enumerate(common.column("word").to_pylist())}
         logs = np.array([base(c) for c in common.column("c").to_pylist()] + [0.0])
         grams = ws.table(count_symbols(train), "grams")
