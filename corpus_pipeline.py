@@ -2,11 +2,17 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet
 and read again as the next stage's docs. All but the last return the columns of documents.
+
+Edge cases: null and empty texts have no features, lines, shingles or tokens: the classifier gives them its
+intercept's score, the other stages keep them, packing gives them no tokens. Rows that repeat an id with another text
+are documents of their own; of rows equal in id and text line dedup keeps one. Ties go to the smaller id, a null id
+comes last. An empty table passes through as an empty table; further columns stay, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voxloom.llm import decontaminate, line_dedup, ngram_join, packing, quality
 from voxloom.llm.workspace import Workspace
@@ -15,8 +21,9 @@ from voxloom.llm.workspace import Workspace
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier rejects (score below quality.THRESHOLD) go."""
     model = quality.fit(quality.training_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    scored = quality.score_documents(docs, model)
-    return scored.where(scored["quality_score"] >= quality.THRESHOLD).select(*docs.columns)
+    score = "__quality"
+    scored = quality.score_documents(docs, model, name=score)
+    return scored.where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

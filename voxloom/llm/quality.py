@@ -183,8 +183,8 @@ def _logistic(x: np.ndarray, t: np.ndarray) -> tuple[float, float]:
     return float(a / scale), float(b - a * x.mean() / scale)
 
 
-def score_documents(docs: DataFrame, model: QualityModel, columns: list[str] | None = None) -> DataFrame:
-    """The given columns of docs plus quality_score."""
+def score_documents(docs: DataFrame, model: QualityModel, columns: list[str] | None = None, name: str = "quality_score") -> DataFrame:
+    """The given columns of docs plus the score, under a name that docs must not have."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     kept = docs.select(*columns) if columns else docs
@@ -194,9 +194,9 @@ def score_documents(docs: DataFrame, model: QualityModel, columns: list[str] | N
             text, out = batch.column(batch.schema.get_field_index("text")), []
             for a, b in slices(text):
                 out.append(shared.value.scores(list(text_features(text.slice(a, b - a)))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out) if out else np.zeros(0))], [*batch.schema.names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out) if out else np.zeros(0))], [*batch.schema.names, name])
 
-    return kept.mapInArrow(score, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + ", quality_score double")
+    return kept.mapInArrow(score, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + f", {name} double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> DataFrame:
