@@ -13,43 +13,48 @@ def first_texts(rows: DataFrame, by: str, text: str, order: str) -> DataFrame:
     return rows.withColumn("rn", rn).where("rn = 1").drop("rn")
 
 
-def evict_overlaps(segments: DataFrame, mode: str = "clean") -> DataFrame:
-    """Segments in time order; one that overlaps a live one of its speaker by more than half is dropped if shorter or less sure, else evicts it.
+def evict_overlaps(segments: DataFrame, mode: str = "clean", by: str = "speaker") -> DataFrame:
+    """Segments in time order; one that overlaps a live one of its speaker by more than half of either is dropped if shorter or less sure, else evicts it.
 
-    The rule is sequential within (episode, speaker), which bounds a group to one speaker's time in one episode.
+    A text that a live segment of the group has is dropped too. by: the column whose equal values compete, such as a mapped
+    character. The rule is sequential within (episode, by), one speaker's time in one episode; segments that end before the
+    present start are left behind, so a step costs as much as what still reaches it.
     mode `reference` keeps evicted rows in the result, `clean` returns live ones. Null confidence counts as 1.
     """
     if mode not in ("clean", "reference"):
         raise ValueError(f"unknown mode {mode!r}")
 
     def scan(group: pd.DataFrame) -> pd.DataFrame:
-        order = group.assign(_at=group["start"].fillna(0)).sort_values(["_at", "ordinal"], kind="stable").index
-        live, seen, out = [], set(), []
-        for i in order:
-            row = group.loc[i]
-            text = (row["text"] or "").strip()
-            if not row["speaker"] or not text or text.lower() in seen:
+        group = group.assign(_at=group["start"].fillna(0)).sort_values(["_at", "ordinal"], kind="stable").drop(columns="_at").reset_index(drop=True)
+        texts = group["text"].fillna("").str.strip().str.lower().tolist()
+        named = group[by].fillna("").astype(str).str.len().gt(0).tolist()
+        start, end = group["start"].fillna(0.0).tolist(), group["end"].fillna(0.0).tolist()
+        sure = group["confidence"].fillna(1.0).tolist()
+        reaching: list[int] = []
+        seen, kept, evicted = set(), [], set()
+        for i, text in enumerate(texts):
+            if not named[i] or not text or text in seen:
                 continue
-            start, end = row["start"] or 0.0, row["end"] or 0.0
-            sure = 1.0 if pd.isna(row["confidence"]) else row["confidence"]
-            keep = True
-            for j, (other, s, e, c, t) in enumerate(live):
-                if start < e and end > s:
-                    common = min(end, e) - max(start, s)
-                    own, old = end - start, e - s
-                    if (own > 0 and common / own > 0.5) or (old > 0 and common / old > 0.5):
-                        if own < old or sure < c:
-                            keep = False
-                        else:
-                            del live[j]
-                            seen.discard(t)
-                        break
-            if keep:
-                live.append((i, start, end, sure, text.lower()))
-                seen.add(text.lower())
-                out.append(i)
-        return group.loc[out if mode == "reference" else [x[0] for x in live]]
-
-    columns = ["episode", "speaker", "ordinal", "start", "end", "text", "confidence"]
+            reaching = [j for j in reaching if end[j] > start[i]]
+            own = end[i] - start[i]
+            rival = None
+            for j in reaching:
+                common = min(end[i], end[j]) - max(start[i], start[j])
+                old = end[j] - start[j]
+                if start[i] < end[j] and end[i] > start[j] and ((own > 0 and common / own > 0.5) or (old > 0 and common / old > 0.5)):
+                    rival = j
+                    break
+            if rival is not None:
+                if own < end[rival] - start[rival] or sure[i] < sure[rival]:
+                    continue
+                reaching.remove(rival)
+                evicted.add(rival)
+                seen.discard(texts[rival])
+            reaching.append(i)
+            seen.add(text)
+            kept.append(i)
+        return group.iloc[kept if mode == "reference" else [i for i in kept if i not in evicted]]
+
+    columns = list(dict.fromkeys(["episode", "speaker", by, "ordinal", "start", "end", "text", "confidence"]))
     rows = segments.select(*columns)
-    return rows.groupBy("episode", "speaker").applyInPandas(scan, rows.schema)
+    return rows.groupBy("episode", by).applyInPandas(scan, rows.schema)

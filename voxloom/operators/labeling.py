@@ -17,49 +17,57 @@ def pattern_scores(utterances: DataFrame, patterns: list[tuple[str, int, str]],
 
     Hits are counted row by row and summed, so no cluster's text is ever joined into one value; a match can't span rows.
     """
-    rows = F.explode(F.array(*[F.struct(F.lit(label).alias("label"), F.lit(p).alias("pattern")) for label, _, p in patterns])).alias("p")
-    hits = utterances.select(by, "text", rows).select(by, "text", "p.*").groupBy(by, "label").agg(F.sum(F.expr("regexp_count(text, concat('(?i)', pattern))")).cast("long").alias("hits"))
+    labels = dict.fromkeys(label for label, _, _ in patterns)
+    # every pattern is a literal, compiled once, and all are counted in one aggregation
+    count = {label: sum((F.regexp_count("text", F.lit(f"(?i){p}")) for name, _, p in patterns if name == label), F.lit(0)) for label in labels}
+    sums = utterances.groupBy(by).agg(*[F.sum(x).cast("long").alias(f"__{k}") for k, x in enumerate(count.values())])
+    hits = sums.select(by, F.explode(F.array(*[F.struct(F.lit(label).alias("label"), F.col(f"__{k}").alias("hits")) for k, label in enumerate(labels)])).alias("p")).select(by, "p.*")
     return hits.join(themes, by).withColumn("score", F.col("hits") / F.col("segments") * F.greatest(F.lit(0.0), 1 - 2 * F.col("theme_ratio"))).select(by, "label", "hits", "score")
 
 
-def assign_labels(scores: DataFrame, stats: DataFrame, names: list[str], by: str = "speaker") -> list[tuple]:
-    """(cluster, label) in four passes over the cluster table, which has a row a cluster and a label at most.
+# fixed values: a label is strong above the first score, wins alone above the second, among others above the third
+STRONG, ALONE, AMONG = 0.03, 0.1, 0.05
+THEME, LONG_SECONDS, MANY_EPISODES = 0.7, 60, 3
 
-    1 clear winners; 2 mixed clusters whose best unused label dominates; 3 large clusters take the
-    names left in turn; 4 theme clusters and the rest by length.
+
+def assign_labels(scores: DataFrame, stats: DataFrame, names: list[str], by: str = "speaker") -> DataFrame:
+    """(cluster, label) of every cluster of stats, in four passes, longest cluster first, ties by name.
+
+    1 clusters of at most one strong label: the first whose best label is a name and clear takes it; 2 clusters of several
+    strong labels: the best one left if it dominates, else a mixed cluster; 3 the names left go to the next clusters of
+    mostly dialogue in turn; 4 the longest theme cluster narrates, the rest is told apart by theme. Of equal scores the
+    label that scores lists first by name counts. The clusters stay a table; only winners, one a name, reach the driver.
     """
-    table: dict = {r[by]: r.asDict() | {"scores": {}} for r in stats.orderBy(F.desc("total_duration"), by).collect()}
-    for r in scores.orderBy(by, F.desc("score"), "label").collect():
-        if r[by] in table:
-            table[r[by]]["scores"][r["label"]] = r["score"]
-    given, used = {}, set()
-    strong = {k: [n for n, s in c["scores"].items() if s > 0.03] for k, c in table.items()}
-    open_ = [k for k, c in table.items() if c["dialogue"] > c["segments"] / 2]
-    for k in open_:
-        if len(strong[k]) <= 1 and table[k]["scores"]:
-            best = max(table[k]["scores"], key=table[k]["scores"].get)
-            if table[k]["scores"][best] > 0.1 and best in names and best not in used:
-                given[k] = best
-                used.add(best)
-    for k in open_:
-        if k not in given and len(strong[k]) > 1:
-            left = sorted((n for n in strong[k] if n not in used), key=lambda n: -table[k]["scores"][n])
-            s = [table[k]["scores"][n] for n in left]
-            if s and s[0] > 0.05 and (len(s) == 1 or s[0] > 2 * s[1]):
-                given[k] = left[0]
-                used.add(left[0])
-            else:
-                given[k] = f"mixed_cluster_{k}"
-    rest = [n for n in names if n not in used]
-    for k, name in zip([k for k in open_ if k not in given], rest, strict=False):
-        given[k] = name if table[k]["total_duration"] > 60 and table[k]["episodes"] > 3 else f"major_character_unknown_{k}"
-    narrator = False
-    for k, c in table.items():
-        if k not in given:
-            theme = c["theme_ratio"] > 0.7
-            given[k] = "narrator" if theme and not narrator else f"theme_song_{k}" if theme else f"minor_character_{k}"
-            narrator |= theme
-    return sorted(given.items(), key=lambda x: str(x[0]))
+    order = Window.orderBy(F.desc("total_duration"), by)
+    # one row a cluster and two numbers of it: what the ranking sorts
+    placed = stats.withColumn("place", F.row_number().over(order)).withColumn("open", F.col("dialogue") > F.col("segments") / 2)
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "label")))
+    table = placed.join(scores.groupBy(by).agg(ranked.alias("ranked")), by, "left").withColumn("ranked", F.coalesce("ranked", F.array().cast("array<struct<minus:double,label:string>>")))
+    table = table.withColumn("strong", F.filter("ranked", lambda x: x["minus"] < -STRONG))
+    best = F.get("ranked", F.lit(0))
+    clear = table.where(F.col("open") & (F.size("strong") <= 1) & (best["minus"] < -ALONE) & best["label"].isin(names))
+    taken = {r["label"]: r[by] for r in clear.groupBy(best["label"].alias("label")).agg(F.min_by(by, "place").alias(by)).collect()}
+    several = table.where(F.col("open") & (F.size("strong") > 1) & ~F.col(by).isin(list(taken.values())))
+    won, after = dict(taken), 0
+    while True:
+        left = F.filter("strong", lambda x: ~x["label"].isin(list(won)))
+        first, second = F.get(left, F.lit(0)), F.get(left, F.lit(1))
+        leads = (first["minus"] < -AMONG) & (second.isNull() | (first["minus"] < 2 * second["minus"]))
+        nxt = several.where((F.col("place") > after) & leads).select("place", by, first["label"].alias("label")).orderBy("place").limit(1).collect()
+        if not nxt:
+            break
+        won[nxt[0]["label"]], after = nxt[0][by], nxt[0]["place"]
+    rest = [n for n in names if n not in won]
+    waiting = table.where(F.col("open") & (F.size("strong") <= 1) & ~F.col(by).isin(list(won.values())))
+    turns = {r[by]: rest[k] if r["fit"] else f"major_character_unknown_{r[by]}" for k, r in enumerate(waiting.orderBy("place").limit(len(rest)).select(by, ((F.col("total_duration") > LONG_SECONDS) & (F.col("episodes") > MANY_EPISODES)).alias("fit")).collect())}
+    given = {c: label for label, c in won.items()} | turns
+    fixed = F.coalesce(*[F.when(F.col(by) == c, label) for c, label in given.items()], F.lit(None).cast("string"))
+    mixed = F.when(F.col("open") & (F.size("strong") > 1), F.concat(F.lit("mixed_cluster_"), F.col(by).cast("string")))
+    labelled = table.withColumn("label", F.coalesce(fixed, mixed))
+    theme = F.col("theme_ratio") > THEME
+    narrator = [r[by] for r in labelled.where(F.col("label").isNull() & theme).orderBy("place").limit(1).select(by).collect()]
+    last = F.when(F.col(by).isin(narrator), "narrator").when(theme, F.concat(F.lit("theme_song_"), F.col(by).cast("string"))).otherwise(F.concat(F.lit("minor_character_"), F.col(by).cast("string")))
+    return labelled.select(by, F.coalesce("label", last).alias("label"))
 
 
 def best_labels(scores: DataFrame, by: str = "speaker") -> DataFrame:

@@ -293,12 +293,13 @@ def theme_ratio(spark, sf_dir):
 
 
 @query(
-    """+ p(label, pattern) AS (VALUES ('anna', 'the'), ('anna', 'and'), ('ben', 'is'), ('ben', 'of'))
-    SELECT speaker, label, sum(len(regexp_extract_all(lower(text), pattern)))::BIGINT AS hits FROM utt CROSS JOIN p GROUP BY 1, 2""",
+    """+ p(label, pattern) AS (VALUES ('anna', 'the'), ('anna', 'and'), ('ben', 'is'), ('ben', 'of')), h AS (SELECT speaker, label, sum(len(regexp_extract_all(lower(text), pattern)))::BIGINT AS hits FROM utt CROSS JOIN p GROUP BY 1, 2),
+    g AS (SELECT speaker, count(*) AS n, (count(*) FILTER (regexp_matches(text, '(?i)ing|tion')))::DOUBLE / count(*) AS theme FROM utt GROUP BY speaker)
+    SELECT speaker, label, hits, round(hits::DOUBLE / n * greatest(0.0, 1 - 2 * theme), 6) AS score FROM h JOIN g USING (speaker)""",
     ("utt",),
 )
 def pattern_scores(spark, sf_dir):
-    return _scores(spark, sf_dir)[0].select("speaker", "label", "hits")
+    return _scores(spark, sf_dir)[0].select("speaker", "label", "hits", F.round("score", 6).alias("score"))
 
 
 @query()
@@ -306,7 +307,7 @@ def label_assignment(spark, sf_dir):
     scores, themes = _scores(spark, sf_dir)
     u = adapters.utterances(spark, sf_dir)
     stats = u.groupBy("speaker").agg((F.count("*") * 2.0).alias("total_duration"), F.count_distinct("episode").alias("episodes"), F.count_if(F.length("text") > 10).alias("dialogue")).join(themes, "speaker")
-    return spark.createDataFrame(labeling.assign_labels(scores, stats, ["anna", "ben"]), "speaker string, label string")
+    return labeling.assign_labels(scores, stats, ["anna", "ben"])
 
 
 @query(
