@@ -14,7 +14,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.link_components(_read(spark, sf_dir, "documents"))
+    return ngram_join.link_components(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op2_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +60,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """SQL for DuckDB where it can express the whole result."""
     return {
+        "op1_ngram_jaccard_join": r"""
+            WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+            s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s FROM w),
+            u AS (SELECT doc_id, len(s) AS n, unnest(s) AS h FROM s),
+            p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k, any_value(a.n) AS na, any_value(b.n) AS nb FROM u a JOIN u b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+            l AS (SELECT a, b FROM p WHERE 100 * k >= 80 * (na + nb - k)),
+            r(id, root) AS (SELECT doc_id, doc_id FROM s UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id)
+            SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id FROM s JOIN (SELECT id, min(root) AS component_id FROM r GROUP BY id) c ON c.id = s.doc_id""",
         "op2_warc_chunks": """
             WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS h FROM pages),
             q AS (SELECT page_id, octet_length(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM p),
