@@ -1,6 +1,7 @@
 """Fuzzy line deduplication by MinHash, in DataFrame functions only.
 
-A line's set holds its character shingles: every SHINGLE consecutive UTF-16 units, case folded. Lines
+A line's set holds its character shingles: every SHINGLE consecutive characters, case folded (signatures, which only
+propose, take UTF-16 units, the same but for rare signs). Lines
 equal but for case and outer blanks are one. Of all shingles MINIMA minima are drawn: of HASHES hashes under
 xor masks (the element nearest a random point in the xor metric is a fair draw from the set). BANDS
 bands, each of ROWS of the minima, overlap in single minima, which spares most of the draws: lines that agree
@@ -40,6 +41,8 @@ ROUNDS = 3
 PERCENT = 80
 SKETCH = 1 << 17
 BLOCK = 512
+# 64-bit words of a bitmap
+WORDS = 32
 # shingles hashed side by side in one row
 STRIDE = 4
 
@@ -86,8 +89,10 @@ def _shingle(at: str) -> str:
 
 
 def hashed_shingles(units: str = "units") -> Column:
-    """Hashes of all shingles, repeats included; units must be a stored column, or it is made anew for each shingle."""
-    return F.expr(f"transform(sequence(0, {_LAST}), i -> {_shingle('i')})".replace("units", units))
+    """Hashes of all shingles, repeats included. Cut out by one expression: a step inside the lambda costs more than the text's decoding."""
+    text = F.decode(F.col(units), "UTF-16BE")
+    cut = F.when(F.length(text) < SHINGLE, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(r"(?s)(?=(.{%d}))." % SHINGLE), F.lit(1)))
+    return F.transform(cut, lambda s: F.xxhash64(s))
 
 
 def signed_lines(occurrences: DataFrame) -> DataFrame:
@@ -154,7 +159,16 @@ def _left_over(ws: Workspace, lines: DataFrame, texts: DataFrame) -> DataFrame:
     rest = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     near = F.lit(100 + PERCENT) * rest >= F.lit(PERCENT) * (F.col("x.n") + F.col("y.n"))
     pairs = x.join(y, met & once & (F.col("x.line") > F.col("y.line")) & (F.col("x.component") != F.col("y.component")) & near)
-    return pairs.select(F.col("x.line").alias("a"), F.col("y.line").alias("b")).distinct()
+    pairs = pairs.select(F.col("x.line").alias("a"), F.col("y.line").alias("b")).distinct()
+    # a bit of one bitmap alone stands for a shingle of that line alone: it bounds what two lines share, in no text's length
+    word, bit = F.pmod(F.shiftright("h", 6), F.lit(WORDS)), F.expr("shiftleft(1L, cast(pmod(h, 64L) as int))")
+    bits = sets.select("line", "n", F.explode("hs").alias("h")).withColumns({"word": word, "bit": bit}).groupBy("line", "n")
+    bits = ws.table(bits.agg(*[F.coalesce(F.bit_or(F.when(F.col("word") == k, F.col("bit"))), F.lit(0).cast("long")).alias(f"w{k}") for k in range(WORDS)]), "left-bits")
+    one = bits.select(F.col("line").alias("a"), F.col("n").alias("na"), *[F.col(f"w{k}").alias(f"x{k}") for k in range(WORDS)])
+    two = bits.select(F.col("line").alias("b"), F.col("n").alias("nb"), *[F.col(f"w{k}").alias(f"y{k}") for k in range(WORDS)])
+    alone = lambda p, q: sum((F.bit_count(F.col(f"{p}{k}").bitwiseAND(F.bitwise_not(F.col(f"{q}{k}")))) for k in range(WORDS)), F.lit(0))
+    most = F.least(F.col("na") - alone("x", "y"), F.col("nb") - alone("y", "x"))
+    return pairs.join(one, "a").join(two, "b").where(F.lit(100 + PERCENT) * most >= F.lit(PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
 def _labelled(shared: DataFrame, groups: DataFrame) -> DataFrame:
@@ -197,7 +211,8 @@ def line_components(ws: Workspace, occurrences: DataFrame) -> DataFrame:
         links = found if links is None else links.unionAll(found)
         now = _labelled(now.where("line <> leader"), ws.table(_near_labels(links), f"labels-{k}"))
     left = ws.table(_open(ws, now, "open-left").select("line", "component").distinct(), "left")
-    links = links.unionAll(ws.table(_verified(_left_over(ws, left, texts).join(tried, ["a", "b"], "left_anti"), texts), "found-left"))
+    rest = ws.table(_left_over(ws, left, texts).join(tried, ["a", "b"], "left_anti"), "pairs-left")
+    links = links.unionAll(ws.table(_verified(rest, texts), "found-left"))
     return ws.table(connected_components(ws, links, "cc"), "groups")
 
 
