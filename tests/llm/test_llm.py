@@ -358,7 +358,7 @@ def test_licenses_names_and_unseen_words(spark):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql_twin(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "embeddings"):
+    for t in ("pages", "embeddings", "documents"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     ran = con.execute(queries.oracle_sql()[name])
     columns = [d[0] for d in ran.description]
