@@ -148,3 +148,16 @@ def test_pipeline_edges(spark):
     assert {41, 42}.issubset({i for i, _ in left}) and len(left) == len(set(left))
     packed = corpus_pipeline.STAGES[-1][1](spark, df, DATA).collect()
     assert len(packed) == len(left)
+
+
+def test_vafile_large_components(spark):
+    rng = random.Random(6)
+    vectors = [[rng.uniform(-3e5, 3e5) for _ in range(8)] for _ in range(300)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    whole = [[math.floor(1024 * x) for x in v] for v in vectors]
+    want = {}
+    for q in range(0, 300, 100):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], w, strict=True)), i) for i, w in enumerate(whole) if i != q)[:10]
+        want |= {(q, k + 1): (i, -s) for k, (s, i) in enumerate(scores)}
+    assert max(abs(s) for _, s in want.values()) > 1 << 53
+    assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in vafile.top_k(df).collect()} == want

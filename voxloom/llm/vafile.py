@@ -9,7 +9,8 @@ merges them.
 Edge cases: vectors that are null, empty or hold a null or non-finite component take no part;
 vectors of different lengths never meet; of rows repeating a query id one is the query (the least
 vector) and none with that id is a candidate; equal scores go to the smaller id, and rows that
-repeat a candidate id each keep a place; an empty table gives an empty result; more columns are ignored.
+repeat a candidate id each keep a place; an empty table gives an empty result; more columns are ignored. Scores are summed as
+64-bit integers, exact while components stay within 2^53 and their products' sum within 2^63, the range of the result's type.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from voxloom.llm.workspace import Workspace
 LEVELS = 255
 QUERY_BLOCK = 2048
 CHUNK_ROWS = 4096
+NONE = -np.iinfo(np.int64).max
 
 
 def integer_vectors(embeddings: DataFrame, scale: int = 1024) -> DataFrame:
@@ -65,7 +67,9 @@ class _Best:
 
     def __init__(self, ids: np.ndarray, exact: np.ndarray, k: int):
         self.ids, self.exact, self.k = ids, exact, k
-        self.scores = np.full((len(ids), k), -np.inf)
+        # exact scores are integers; bounds may round, by less than their slack
+        self.whole = exact.astype(np.int64)
+        self.scores = np.full((len(ids), k), NONE)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
         self.read = 0
 
@@ -83,7 +87,7 @@ class _Best:
                 part = order[at : at + size]
                 part = part[ids[part] != self.ids[q]]
                 self.read += len(part)
-                s = np.concatenate([self.scores[q], vecs[part] @ self.exact[q]])
+                s = np.concatenate([self.scores[q], vecs[part].astype(np.int64) @ self.whole[q]])
                 n = np.concatenate([self.found[q], ids[part]])
                 best = np.lexsort((n, -s))[: self.k]
                 self.scores[q], self.found[q] = s[best], n[best]
@@ -134,8 +138,8 @@ def _scan_block(approx: DataFrame, rows: list, bounds: dict, k: int) -> DataFram
                     cells = np.frombuffer(b"".join(part.column("cells").to_pylist()), np.uint8).reshape(-1, d)
                     best[d].scan(part.column("vec_id").to_numpy(), cells, vecs, lo, step)
         for d, x in best.items():
-            real = np.isfinite(x.scores)
+            real = x.scores != NONE
             which = np.nonzero(real)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(x.ids[which]), pa.array(x.found[real]), pa.array(x.scores[real].astype(np.int64))], ["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(x.ids[which]), pa.array(x.found[real]), pa.array(x.scores[real])], ["query_id", "vec_id", "score"])
 
     return approx.mapInArrow(scan, "query_id long, vec_id long, score long")
