@@ -209,10 +209,12 @@ def line_components(ws: Workspace, occurrences: DataFrame) -> DataFrame:
         tried = pairs if tried is None else tried.unionAll(pairs)
         found = ws.table(_verified(pairs, texts), f"found-{k}")
         links = found if links is None else links.unionAll(found)
-        now = _labelled(now.where("line <> leader"), ws.table(_near_labels(links), f"labels-{k}"))
+        # the finish meets all pairs across labels, so its labels are the components themselves
+        groups = ws.table(_near_labels(links) if k + 1 < ROUNDS else connected_components(ws, links, "cc-rounds"), f"labels-{k}")
+        now = _labelled(now.where("line <> leader"), groups)
     left = ws.table(_open(ws, now, "open-left").select("line", "component").distinct(), "left")
     rest = ws.table(_left_over(ws, left, texts).join(tried, ["a", "b"], "left_anti"), "pairs-left")
-    links = links.unionAll(ws.table(_verified(rest, texts), "found-left"))
+    links = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(ws.table(_verified(rest, texts), "found-left"))
     return ws.table(connected_components(ws, links, "cc"), "groups")
 
 
