@@ -25,6 +25,7 @@ its own value, last in order; empty tables give empty results; further columns a
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,7 @@ SKETCH = 1 << 17
 BLOCK = 512
 # 64-bit words of a bitmap
 WORDS = 32
+NARROW = 8
 # shingles hashed side by side in one row
 STRIDE = 4
 
@@ -133,6 +135,12 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(near & alike).select("a", "b").distinct()
 
 
+def _most_common(x: list[Column], y: list[Column], nx: Column, ny: Column) -> Column:
+    """The most elements sets of nx and ny can share, given the words of their bitmaps."""
+    alone = lambda p, q: sum((F.bit_count(a.bitwiseAND(F.bitwise_not(b))) for a, b in zip(p, q)), F.lit(0))
+    return F.least(nx - alone(x, y), ny - alone(y, x))
+
+
 def _left_over(ws: Workspace, lines: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): every pair of lines (line, component) of different components that can still be similar enough.
 
@@ -145,30 +153,35 @@ def _left_over(ws: Workspace, lines: DataFrame, texts: DataFrame) -> DataFrame:
     # bounded by SKETCH, so the order needs no exchange by shingle
     seen = ws.table(sets.select(F.explode("hs").alias("h")).groupBy(place.alias("place")).agg(F.count("*").alias("seen")), "left-seen")
     ranked = sets.select("line", "component", "n", F.explode("hs").alias("h")).withColumn("place", place).join(F.broadcast(seen), "place")
+    # a bit of one bitmap alone stands for a shingle of that line alone: it bounds what two lines share, in no text's length
+    word, bit = F.pmod(F.shiftright("h", 6), F.lit(WORDS)), F.expr("shiftleft(1L, cast(pmod(h, 64L) as int))")
+    bits = sets.select("line", "n", F.explode("hs").alias("h")).withColumns({"word": word, "bit": bit}).groupBy("line", "n")
+    bits = ws.table(bits.agg(*[F.coalesce(F.bit_or(F.when(F.col("word") == k, F.col("bit"))), F.lit(0).cast("long")).alias(f"w{k}") for k in range(WORDS)]), "left-bits")
     ordered = ranked.groupBy("line", "component", "n").agg(F.array_sort(F.collect_list(F.struct("seen", "h"))).alias("hs"))
+    # words NARROW apart fold into one: a smaller bitmap that travels with every place a line is posted to
+    folded = [reduce(Column.bitwiseOR, [F.col(f"w{k}") for k in range(f, WORDS, NARROW)]).alias(f"f{f}") for f in range(NARROW)]
     prefix = F.slice("hs", F.lit(1), (F.col("n") - F.floor((F.lit(PERCENT) * F.col("n") + 99) / 100) + 1).cast("int"))
-    posted = ordered.select("line", "component", "n", F.posexplode(prefix).alias("at", "e")).select("line", "component", "n", "at", F.col("e.h").alias("h"), F.ceil(F.col("e.seen") / BLOCK).alias("parts"))
-    posted = posted.withColumn("own", F.pmod(F.xxhash64("line", F.lit(3)), F.col("parts")))
-    posted = posted.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    posted = ws.table(posted.select("line", "component", "n", "at", "h", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")), "left-posted")
-    x, y = posted.alias("x"), posted.alias("y")
+    prefixes = ws.table(ordered.select("line", "component", "n", prefix.alias("hs")).join(bits.select("line", *folded), "line"), "left-prefixes")
+    posted = prefixes.select("line", "component", "n", *[f"f{f}" for f in range(NARROW)], F.posexplode("hs").alias("at", "e")).withColumn("h", F.col("e.h")).drop("e").withColumn("place", place)
+    posts = ws.table(posted.groupBy("place").agg(F.ceil(F.count("*") / BLOCK).alias("parts")), "left-posts")
+    posted = posted.join(F.broadcast(posts), "place").withColumn("own", F.pmod(F.xxhash64("line", F.lit(3)), F.col("parts")))
+    # blocks meet pairwise, each in the lower role with itself and those above, in the higher with itself and those below
+    every = ["h", "low", "high", "line", "component", "n", "at", *[f"f{f}" for f in range(NARROW)]]
+    x = posted.withColumn("low", F.col("own")).withColumn("high", F.explode(F.sequence("own", F.col("parts") - 1))).select(*every).alias("x")
+    y = posted.withColumn("high", F.col("own")).withColumn("low", F.explode(F.sequence(F.lit(0).cast("long"), "own"))).select(*every).alias("y")
     met = (F.col("x.h") == F.col("y.h")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
-    # lines of one block meet in its own cell alone
-    once = (F.col("x.own") != F.col("y.own")) | (F.col("x.low") == F.col("x.high"))
+    once = (F.col("x.low") != F.col("x.high")) | (F.col("x.line") > F.col("y.line"))
     # at their first common element no more than the rest of either set can be common
     rest = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
-    near = F.lit(100 + PERCENT) * rest >= F.lit(PERCENT) * (F.col("x.n") + F.col("y.n"))
-    pairs = x.join(y, met & once & (F.col("x.line") > F.col("y.line")) & (F.col("x.component") != F.col("y.component")) & near)
-    pairs = pairs.select(F.col("x.line").alias("a"), F.col("y.line").alias("b")).distinct()
-    # a bit of one bitmap alone stands for a shingle of that line alone: it bounds what two lines share, in no text's length
-    word, bit = F.pmod(F.shiftright("h", 6), F.lit(WORDS)), F.expr("shiftleft(1L, cast(pmod(h, 64L) as int))")
-    bits = sets.select("line", "n", F.explode("hs").alias("h")).withColumns({"word": word, "bit": bit}).groupBy("line", "n")
-    bits = ws.table(bits.agg(*[F.coalesce(F.bit_or(F.when(F.col("word") == k, F.col("bit"))), F.lit(0).cast("long")).alias(f"w{k}") for k in range(WORDS)]), "left-bits")
+    both = F.col("x.n") + F.col("y.n")
+    enough = lambda most, of: F.lit(100 + PERCENT) * most >= F.lit(PERCENT) * of
+    narrow = _most_common([F.col(f"x.f{f}") for f in range(NARROW)], [F.col(f"y.f{f}") for f in range(NARROW)], F.col("x.n"), F.col("y.n"))
+    pairs = x.join(y, met & (F.col("x.component") != F.col("y.component")) & once & enough(rest, both) & enough(narrow, both))
+    pairs = pairs.select(F.greatest("x.line", "y.line").alias("a"), F.least("x.line", "y.line").alias("b")).distinct()
     one = bits.select(F.col("line").alias("a"), F.col("n").alias("na"), *[F.col(f"w{k}").alias(f"x{k}") for k in range(WORDS)])
     two = bits.select(F.col("line").alias("b"), F.col("n").alias("nb"), *[F.col(f"w{k}").alias(f"y{k}") for k in range(WORDS)])
-    alone = lambda p, q: sum((F.bit_count(F.col(f"{p}{k}").bitwiseAND(F.bitwise_not(F.col(f"{q}{k}")))) for k in range(WORDS)), F.lit(0))
-    most = F.least(F.col("na") - alone("x", "y"), F.col("nb") - alone("y", "x"))
-    return pairs.join(one, "a").join(two, "b").where(F.lit(100 + PERCENT) * most >= F.lit(PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b")
+    wide = _most_common([F.col(f"x{k}") for k in range(WORDS)], [F.col(f"y{k}") for k in range(WORDS)], F.col("na"), F.col("nb"))
+    return pairs.join(one, "a").join(two, "b").where(enough(wide, F.col("na") + F.col("nb"))).select("a", "b")
 
 
 def _labelled(shared: DataFrame, groups: DataFrame) -> DataFrame:
