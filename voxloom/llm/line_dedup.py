@@ -119,7 +119,9 @@ def _shared(ws: Workspace, signed: DataFrame) -> DataFrame:
     bands = signed.select("line", F.explode("bands").alias("band"))
     several = bands.groupBy("band").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high").select("band")
     # a table of its own: the join then meets two plain exchanges, of which a skewed one is split at run time
-    return ws.table(bands.join(ws.table(several, "several"), "band"), "shared")
+    shared = ws.table(bands.join(ws.table(several, "several"), "band"), "shared")
+    ws.drop("several")
+    return shared
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -162,6 +164,8 @@ def _left_over(ws: Workspace, lines: DataFrame, texts: DataFrame) -> DataFrame:
     folded = [reduce(Column.bitwiseOR, [F.col(f"w{k}") for k in range(f, WORDS, NARROW)]).alias(f"f{f}") for f in range(NARROW)]
     prefix = F.slice("hs", F.lit(1), (F.col("n") - F.floor((F.lit(PERCENT) * F.col("n") + 99) / 100) + 1).cast("int"))
     prefixes = ws.table(ordered.select("line", "component", "n", prefix.alias("hs")).join(bits.select("line", *folded), "line"), "left-prefixes")
+    ws.drop("left-sets")
+    ws.drop("left-seen")
     posted = prefixes.select("line", "component", "n", *[f"f{f}" for f in range(NARROW)], F.posexplode("hs").alias("at", "e")).withColumn("h", F.col("e.h")).drop("e").withColumn("place", place)
     posts = ws.table(posted.groupBy("place").agg(F.ceil(F.count("*") / BLOCK).alias("parts")), "left-posts")
     posted = posted.join(F.broadcast(posts), "place").withColumn("own", F.pmod(F.xxhash64("line", F.lit(3)), F.col("parts")))
@@ -197,11 +201,15 @@ def _near_labels(links: DataFrame) -> DataFrame:
     return least.join(further, "m", "left").select("node", F.least("m", F.coalesce("further", "m")).alias("component"))
 
 
-def _open(ws: Workspace, labelled: DataFrame, name: str) -> DataFrame:
-    """The rows (band, line, component) of buckets of several components, with the bucket's leader."""
-    labelled = ws.table(labelled, f"{name}-all")
+def _open(ws: Workspace, labelled: DataFrame, name: str, stored: bool = False) -> DataFrame:
+    """The rows (band, line, component) of buckets of several components, with the bucket's leader; stored: labelled reads a table already."""
+    if not stored:
+        labelled = ws.table(labelled, f"{name}-all")
     heads = labelled.groupBy("band").agg(F.min("line").alias("leader"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band", "leader")
-    return ws.table(labelled.join(ws.table(heads, f"{name}-heads"), "band"), name)
+    rows = ws.table(labelled.join(ws.table(heads, f"{name}-heads"), "band"), name)
+    for done in [f"{name}-heads"] if stored else [f"{name}-heads", f"{name}-all"]:
+        ws.drop(done)
+    return rows
 
 
 def line_components(ws: Workspace, occurrences: DataFrame) -> DataFrame:
@@ -212,10 +220,12 @@ def line_components(ws: Workspace, occurrences: DataFrame) -> DataFrame:
     texts = ws.table(texts.select("line", "units"), "texts-units")
     ws.drop("signed")
     texts = ws.table(texts.select("line", "units", F.size(F.array_distinct(hashed_shingles())).alias("n")), "texts")
+    ws.drop("texts-units")
     links, tried = None, None
     now = shared.select("band", "line", F.col("line").alias("component"))
     for k in range(ROUNDS):
-        now = _open(ws, now, f"open-{k}")
+        now = _open(ws, now, f"open-{k}", stored=k == 0)
+        ws.drop(f"open-{k - 1}" if k else "shared")
         of_leader = now.where("line = leader").select("band", F.col("component").alias("of"))
         pairs = now.join(of_leader, "band").where("component <> of").select(F.greatest("line", "leader").alias("a"), F.least("line", "leader").alias("b")).distinct()
         pairs = ws.table(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), f"pairs-{k}")
@@ -226,6 +236,7 @@ def line_components(ws: Workspace, occurrences: DataFrame) -> DataFrame:
         groups = ws.table(_near_labels(links) if k + 1 < ROUNDS else connected_components(ws, links, "cc-rounds"), f"labels-{k}")
         now = _labelled(now.where("line <> leader"), groups)
     left = ws.table(_open(ws, now, "open-left").select("line", "component").distinct(), "left")
+    ws.drop(f"open-{ROUNDS - 1}")
     rest = ws.table(_left_over(ws, left, texts).join(tried, ["a", "b"], "left_anti"), "pairs-left")
     links = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(ws.table(_verified(rest, texts), "found-left"))
     return ws.table(connected_components(ws, links, "cc"), "groups")
