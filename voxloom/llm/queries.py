@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import decontaminate, licenses, line_dedup, ngram_join, packing, quality, secrets, suffix_tree, vafile, warc
+from voxloom.llm import decontaminate, fill_middle, licenses, line_dedup, ngram_join, packing, quality, secrets, suffix_tree, vafile, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,8 +53,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(_read(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_warc_chunks, op3_suffix_tree_scores, op4_quality_classifier, op5_vafile_top_k, op6_spaced_seed_decontamination, op7_secret_scan, op8_line_dedup, op9_length_bucket_packing, op10_license_scan)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_warc_chunks, op3_suffix_tree_scores, op4_quality_classifier, op5_vafile_top_k, op6_spaced_seed_decontamination, op7_secret_scan, op8_line_dedup, op9_length_bucket_packing, op10_license_scan, op12_fill_in_middle)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -85,4 +89,13 @@ def oracle_sql() -> dict[str, str]:
               FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
             SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
             FROM s QUALIFY rank <= 10""",
+        "op12_fill_in_middle": """
+            WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+            g AS (SELECT doc_id, t, length(t) AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2, ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d),
+            f AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+              CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+            p AS (SELECT *, t[1:a] AS pre, t[a + 1:b] AS mid, t[b + 1:] AS suf FROM f)
+            SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END::BIGINT AS middle_chars,
+              sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+              sha256(t) AS restored_sha256 FROM p""",
     }
