@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import decontaminate, fill_middle, licenses, line_dedup, ngram_join, packing, quality, secrets, suffix_tree, vafile, warc
+from voxloom.llm import decontaminate, fill_middle, language_id, licenses, line_dedup, ngram_join, packing, quality, secrets, suffix_tree, vafile, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,8 +57,12 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(_read(spark, sf_dir, "documents"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_warc_chunks, op3_suffix_tree_scores, op4_quality_classifier, op5_vafile_top_k, op6_spaced_seed_decontamination, op7_secret_scan, op8_line_dedup, op9_length_bucket_packing, op10_license_scan, op12_fill_in_middle)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_warc_chunks, op3_suffix_tree_scores, op4_quality_classifier, op5_vafile_top_k, op6_spaced_seed_decontamination, op7_secret_scan, op8_line_dedup, op9_length_bucket_packing, op10_license_scan, op12_fill_in_middle, op13_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
