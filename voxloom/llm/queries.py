@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import decontaminate, fill_middle, language_id, licenses, line_dedup, ngram_join, packing, quality, secrets, suffix_tree, vafile, warc
+from voxloom.llm import collocations, decontaminate, fill_middle, language_id, licenses, line_dedup, ngram_join, packing, quality, secrets, suffix_tree, vafile, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(_read(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_read(spark, sf_dir, "documents"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(_read(spark, sf_dir, "documents"))
 
@@ -62,7 +66,7 @@ def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_warc_chunks, op3_suffix_tree_scores, op4_quality_classifier, op5_vafile_top_k, op6_spaced_seed_decontamination, op7_secret_scan, op8_line_dedup, op9_length_bucket_packing, op10_license_scan, op12_fill_in_middle, op13_language_id)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_warc_chunks, op3_suffix_tree_scores, op4_quality_classifier, op5_vafile_top_k, op6_spaced_seed_decontamination, op7_secret_scan, op8_line_dedup, op9_length_bucket_packing, op10_license_scan, op11_phrase_collocations, op12_fill_in_middle, op13_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -93,6 +97,21 @@ def oracle_sql() -> dict[str, str]:
               FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
             SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
             FROM s QUALIFY rank <= 10""",
+        "op11_phrase_collocations": r"""
+            WITH s AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+            p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM s),
+            w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+            g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase FROM w, (VALUES (1), (2), (3)) AS v(k) WHERE len(w) >= k),
+            f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+            n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY 1),
+            c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 10),
+            u AS (SELECT c.lang, c.k, phrase, a, j, array_to_string(w[1 : j], ' ') AS x, array_to_string(w[j + 1 :], ' ') AS y FROM c, (VALUES (1), (2)) AS v(j) WHERE j < c.k),
+            q AS (SELECT u.*, x.f AS l, y.f AS r, (1000000::HUGEINT * u.a * u.a) // (x.f::HUGEINT * y.f) AS score FROM u JOIN f x ON x.lang = u.lang AND x.phrase = u.x JOIN f y ON y.lang = u.lang AND y.phrase = u.y),
+            b AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+            i AS (SELECT lang, phrase, max(a) AS m FROM (SELECT lang, a, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS phrase FROM c WHERE k = 3) GROUP BY 1, 2),
+            o AS (SELECT b.* FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase WHERE NOT coalesce(100 * i.m >= 50 * b.a, false)),
+            t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+            SELECT t.lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM t JOIN n ON n.lang = t.lang WHERE rank <= 2000""",
         "op12_fill_in_middle": """
             WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
             g AS (SELECT doc_id, t, length(t) AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2, ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d),
