@@ -210,7 +210,8 @@ def _sampled(rows: DataFrame, size: int) -> DataFrame:
     span = 1 << 40
     drawn = rows.select("text", "lang", F.pmod(F.xxhash64("text", F.lit(13)), F.lit(span)).alias("h"))
     share = rows.groupBy("lang").agg(F.least(F.lit(span), F.ceil(F.lit(float(span)) * size / F.count("*"))).alias("below"))
-    return drawn.join(share, "lang").where("h < below").dropDuplicates(["lang", "h"]).select("lang", "h", "text")
+    # a number for each language, of which the model itself sends everywhere CLUSTERS * 2 ** BITS
+    return drawn.join(F.broadcast(share), "lang").where("h < below").dropDuplicates(["lang", "h"]).select("lang", "h", "text")
 
 
 def _spherical_means(rows: np.ndarray, clusters: int) -> np.ndarray:
