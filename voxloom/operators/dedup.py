@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Any, NamedTuple
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +15,34 @@ def first_texts(rows: DataFrame, by: str, text: str, order: str) -> DataFrame:
     return rows.withColumn("rn", rn).where("rn = 1").drop("rn")
 
 
+class Live(NamedTuple):
+    """A kept segment that later ones may still reach. text: stripped, case-folded; row: whatever stands for it."""
+
+    start: float
+    end: float
+    sure: float
+    text: str
+    row: Any
+
+
+def admit(live: list[Live], new: Live) -> tuple[bool, Live | None]:
+    """Whether a segment is kept beside live ones, and the one it evicts; live, in order of time, is changed accordingly.
+
+    The first one of which either is covered by more than half is its rival: it stays if the new one is shorter or less sure.
+    """
+    own = new.end - new.start
+    for k, old in enumerate(live):
+        common, length = min(new.end, old.end) - max(new.start, old.start), old.end - old.start
+        if new.start < old.end and new.end > old.start and ((own > 0 and common / own > 0.5) or (length > 0 and common / length > 0.5)):
+            if own < length or new.sure < old.sure:
+                return False, None
+            del live[k]
+            live.append(new)
+            return True, old
+    live.append(new)
+    return True, None
+
+
 def evict_overlaps(segments: DataFrame, mode: str = "clean", by: str = "speaker") -> DataFrame:
     """Segments in time order; one that overlaps a live one of its speaker by more than half of either is dropped if shorter or less sure, else evicts it.
 
@@ -30,29 +60,19 @@ def evict_overlaps(segments: DataFrame, mode: str = "clean", by: str = "speaker"
         named = group[by].fillna("").astype(str).str.len().gt(0).tolist()
         start, end = group["start"].fillna(0.0).tolist(), group["end"].fillna(0.0).tolist()
         sure = group["confidence"].fillna(1.0).tolist()
-        reaching: list[int] = []
+        live: list[Live] = []
         seen, kept, evicted = set(), [], set()
         for i, text in enumerate(texts):
             if not named[i] or not text or text in seen:
                 continue
-            reaching = [j for j in reaching if end[j] > start[i]]
-            own = end[i] - start[i]
-            rival = None
-            for j in reaching:
-                common = min(end[i], end[j]) - max(start[i], start[j])
-                old = end[j] - start[j]
-                if start[i] < end[j] and end[i] > start[j] and ((own > 0 and common / own > 0.5) or (old > 0 and common / old > 0.5)):
-                    rival = j
-                    break
-            if rival is not None:
-                if own < end[rival] - start[rival] or sure[i] < sure[rival]:
-                    continue
-                reaching.remove(rival)
-                evicted.add(rival)
-                seen.discard(texts[rival])
-            reaching.append(i)
-            seen.add(text)
-            kept.append(i)
+            live = [x for x in live if x.end > start[i]]
+            stays, out = admit(live, Live(start[i], end[i], sure[i], text, i))
+            if out is not None:
+                evicted.add(out.row)
+                seen.discard(out.text)
+            if stays:
+                seen.add(text)
+                kept.append(i)
         return group.iloc[kept if mode == "reference" else [i for i in kept if i not in evicted]]
 
     columns = list(dict.fromkeys(["episode", "speaker", by, "ordinal", "start", "end", "text", "confidence"]))
