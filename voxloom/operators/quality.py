@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.functions.numbers import fixed, percent
+
 
 @dataclass(frozen=True)
 class AcceptRules:
@@ -47,6 +49,25 @@ def reason(rules: AcceptRules = AcceptRules()) -> Column:
     )
 
 
+def reason_message(rules: AcceptRules = AcceptRules()) -> Column:
+    """The first rule a clip fails, in words, with its numbers; null if it is accepted. Wordings are fixed values."""
+    c, say = F.col, lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    words = {
+        "too_short": say("Too short: ", fixed(c("duration"), 1), f"s < {rules.min_duration}s"),
+        "too_long": say("Too long: ", fixed(c("duration"), 1), f"s > {rules.max_duration}s"),
+        "low_snr": say("Low SNR: ", fixed(c("snr"), 1), f"dB < {rules.min_snr}dB"),
+        "low_speech_ratio": say("Low speech ratio: ", fixed(c("speech_ratio"), 2), f" < {rules.min_speech}"),
+        "too_few_words": say("Too few words: ", c("word_count").cast("string"), f" < {rules.min_words}"),
+        "incomplete_words": F.lit("Incomplete words/phrases"),
+        "low_quality": say("Low quality score: ", fixed(c("quality"), 2), f" < {rules.min_score}"),
+    }
+    return _worded(reason(rules), words)
+
+
+def _worded(code: Column, words: dict[str, Column]) -> Column:
+    return F.coalesce(*[F.when(code == k, w) for k, w in words.items()])
+
+
 def speaker_report(clips: DataFrame) -> DataFrame:
     """Per speaker: input, accepted, rejected, rate, accepted seconds and mean quality (0 if none)."""
     ok = F.col("reason").isNull()
@@ -103,6 +124,22 @@ def audio_issues(low: float = 1.0, high: float = 30.0, least_snr: float = 15.0)
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 
 
+def issue_messages(low: float = 1.0, high: float = 30.0, least_snr: float = 15) -> Column:
+    """audio_issues in words, with their numbers. Wordings are fixed values; limits are written as they are given."""
+    c, say = F.col, lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    words = {
+        "too_short": say("Too short: ", fixed(c("duration"), 2), f"s (min: {low}s)"),
+        "too_long": say("Too long: ", fixed(c("duration"), 2), f"s (max: {high}s)"),
+        "low_sample_rate": say("Sample rate too low: ", c("sample_rate").cast("string"), "Hz (min: 16000Hz)"),
+        "low_snr": say("Low SNR: ", fixed(c("snr"), 1), f"dB (min: {least_snr}dB)"),
+        "clipping": say("Clipping detected: ", percent(c("clipping"), 2), " of samples"),
+        "silence": say("Too much silence: ", percent(c("silence"), 1)),
+        "low_dynamic_range": say("Low dynamic range: ", fixed(c("dynamic_range"), 1), "dB"),
+        "dc_offset": say("DC offset detected: ", fixed(c("dc_offset"), 3)),
+    }
+    return F.transform(audio_issues(low, high, least_snr), lambda code: _worded(code, words))
+
+
 def file_score() -> Column:
     """0 to 10; a missing metric counts as good."""
     miss = lambda x: F.greatest(F.lit(0.0), x)

@@ -16,9 +16,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as timed segments: episode, speaker, start, end, duration, text, confidence, ordinal."""
+    return segments_of(read(spark, sf_dir, "events"))
+
+
+def segments_of(events: DataFrame) -> DataFrame:
     ts = F.col("ts").cast("timestamp_ntz")
     start = (F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)).cast("double")
-    return read(spark, sf_dir, "events").select(
+    return events.select(
         F.date_format(ts, "yyyy-MM-dd").alias("episode"),
         F.concat(F.lit("SPEAKER_"), F.lpad((F.col("user_id") % 20).cast("string"), 2, "0")).alias("speaker"),
         start.alias("start"),

@@ -345,12 +345,12 @@ def stream_sessions(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    from voxloom.plans import registry_clips  # noqa: F401
+    from voxloom.plans import registry_clips, registry_runs  # noqa: F401
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from voxloom.plans import registry_clips  # noqa: F401
+    from voxloom.plans import registry_clips, registry_runs  # noqa: F401
 
     return dict(_SQL)
