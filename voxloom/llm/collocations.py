@@ -41,8 +41,8 @@ COVERED = 50
 TOP = 2000
 SPREAD = 64
 SCALE = 1_000_000
-FLUSH = 6 << 20
-PART = 6 << 20
+FLUSH = 4 << 20
+PART = 4 << 20
 SEEN = 2000
 LEAST_HOT = 4000
 MOST_HOT = 1_000_000
