@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voxloom.operators import attempts, quality
+from voxloom.operators import attempts, documents, joined_hits, labeling, quality
 from voxloom.plans import adapters
 from voxloom.plans.adapters import read
 from voxloom.plans.registry import _QUERIES, _SCORED, _SQL, _scored, query
@@ -136,3 +136,56 @@ def arrival_speaker_analysis(spark, sf_dir):
 
 _QUERIES["arrival_speaker_analysis"] = arrival_speaker_analysis
 _SQL["arrival_speaker_analysis"] = _SQL["speaker_analysis"]
+
+
+JOINED = [("anna", 0, "the"), ("anna", 1, "n i"), ("ben", 2, "is.*of"), ("ben", 3, "[aeiou] [aeiou]")]
+
+
+@query(
+    r"""+ p(label, pattern) AS (VALUES ('anna', 'the'), ('anna', 'n i'), ('ben', 'is.*of'), ('ben', '[aeiou] [aeiou]')), j AS (SELECT speaker, count(*) AS n, (count(*) FILTER (regexp_matches(text, '(?i)ing|tion')))::DOUBLE / count(*) AS theme, string_agg(lower(text), ' ' ORDER BY episode::BIGINT, ordinal) AS whole FROM utt GROUP BY speaker),
+    h AS (SELECT speaker, label, sum(len(regexp_extract_all(whole, pattern)))::BIGINT AS hits FROM j CROSS JOIN p GROUP BY 1, 2)
+    SELECT h.speaker, label, hits, round(hits::DOUBLE / n * greatest(0.0, 1 - 2 * theme), 6) AS score FROM h JOIN j ON j.speaker = h.speaker""",
+    ("utt",),
+)
+def joined_pattern_scores(spark, sf_dir):
+    u = adapters.utterances(spark, sf_dir).withColumn("place", c("episode").cast("long"))
+    out = joined_hits.joined_scores(u, JOINED, labeling.theme_ratio(u, ["ing", "tion"]), "speaker", ["place", "ordinal"])
+    return out.select("speaker", "label", "hits", F.round("score", 6).alias("score"))
+
+
+_DOCUMENTS = r"""s AS (SELECT vec_id % 12 AS cluster_id, conv_id::VARCHAR AS episode, 5000 - conv_id AS position, turn * 7.5 AS time, role AS speaker, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS text FROM conversations JOIN (SELECT DISTINCT conv_id AS id, conv_id * 7 % 11 AS vec_id FROM conversations) ON id = conv_id WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> ''),
+    g AS (SELECT vec_id % 12 AS cluster_id, count(*) AS segments, sum(1.0 + vec_id % 7)::DOUBLE AS seconds, count(DISTINCT vec_id % 20) AS n_episodes, string_agg(DISTINCT label::VARCHAR, ', ' ORDER BY label::VARCHAR) AS speakers FROM embeddings GROUP BY 1),
+    n AS (SELECT cluster_id, position, episode, count(*) AS n FROM s GROUP BY ALL), t AS (SELECT cluster_id, sum(n)::BIGINT AS total FROM n GROUP BY 1)"""
+
+
+def _documents(spark, sf_dir):
+    v = read(spark, sf_dir, "embeddings").withColumn("cluster_id", c("vec_id") % 12)
+    clusters = v.groupBy("cluster_id").agg(F.count("*").alias("segments"), F.sum(1.0 + c("vec_id") % 7).alias("total_duration"), F.count_distinct(c("vec_id") % 20).alias("n_episodes"), F.collect_set(c("label").cast("string")).alias("speakers"))
+    clusters = clusters.withColumn("label", F.when(c("cluster_id") % 3 != 0, F.concat(F.lit("voice "), c("cluster_id").cast("string")))).withColumn("quality", F.lit(0.5))
+    said = read(spark, sf_dir, "conversations").select((c("conv_id") * 7 % 11 % 12).alias("cluster_id"), c("conv_id").cast("string").alias("episode"), (5000 - c("conv_id")).alias("position"), (c("turn") * 7.5).alias("time"), c("role").alias("speaker"), "text")
+    return clusters, said
+
+
+@query(
+    f"""WITH {_DOCUMENTS}, b AS (SELECT cluster_id, position, episode, string_agg('[' || lpad((time::INTEGER // 60)::VARCHAR, 2, '0') || ':' || lpad((floor(time)::INTEGER % 60)::VARCHAR, 2, '0') || '] ' || speaker || ': "' || text || '"', chr(10) ORDER BY time) AS said FROM s GROUP BY ALL)
+    SELECT cluster_id, 0 AS block, 0::BIGINT AS position, '' AS episode, 'FULL TRANSCRIPT - Cluster ' || cluster_id || chr(10) || 'Character: ' || CASE WHEN cluster_id % 3 = 0 THEN 'unassigned' ELSE 'voice ' || cluster_id END || chr(10) || format('Total Duration: {{:.1f}} minutes', seconds / 60) || chr(10)
+      || 'Original Speakers: ' || speakers || chr(10) || 'Episodes: ' || n_episodes || chr(10) || repeat('=', 60) || chr(10) AS text FROM g
+    UNION ALL SELECT cluster_id, 1, 0, '', 'No dialogue found for this cluster.' FROM g WHERE cluster_id NOT IN (SELECT cluster_id FROM t)
+    UNION ALL SELECT cluster_id, 1, position, episode, chr(10) || '--- ' || episode || ' ---' || chr(10) || chr(10) || said FROM b
+    UNION ALL SELECT t.cluster_id, 2, 0, '', chr(10) || repeat('=', 60) || chr(10) || 'SUMMARY:' || chr(10) || 'Total lines: ' || total || chr(10) || 'Lines by episode:' || chr(10) || x FROM t JOIN (SELECT cluster_id, string_agg('  ' || episode || ': ' || n || ' lines', chr(10) ORDER BY episode) AS x FROM n GROUP BY 1) y ON y.cluster_id = t.cluster_id"""
+)
+def transcript_documents(spark, sf_dir):
+    return documents.sections(documents.transcript_lines(*_documents(spark, sf_dir)))
+
+
+@query(
+    f"""WITH {_DOCUMENTS}, e AS (SELECT DISTINCT cluster_id, episode, position FROM s), r AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY position) AS k FROM e),
+    f AS (SELECT cluster_id, string_agg(chr(10) || '  - ' || episode, '' ORDER BY k) AS first FROM r WHERE k <= 5 GROUP BY 1)
+    SELECT g.cluster_id, 'Cluster ID: ' || g.cluster_id || chr(10) || 'Character: ' || CASE WHEN g.cluster_id % 3 = 0 THEN 'unassigned' ELSE 'voice ' || g.cluster_id END || chr(10) || format('Duration: {{:.1f}} minutes', seconds / 60) || chr(10) || 'Episodes: ' || n_episodes || chr(10) || 'Segments: ' || segments || chr(10) || 'Quality Score: 0.5' || chr(10)
+      || 'Original Speakers: ' || speakers || chr(10) || chr(10) || 'First few episodes:' || coalesce(first, '') AS text FROM g LEFT JOIN f ON f.cluster_id = g.cluster_id"""
+)
+def cluster_documents(spark, sf_dir):
+    clusters, said = _documents(spark, sf_dir)
+    lines = documents.info_lines(clusters, said.select("cluster_id", "episode", "position").distinct())
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "position", "k", "line"))), lambda x: x["line"]), "\n")
+    return lines.groupBy("cluster_id").agg(text.alias("text"))
