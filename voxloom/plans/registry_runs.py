@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voxloom.operators import attempts, documents, joined_hits, labeling, quality
+from voxloom.operators import attempts, documents, joined_hits, labeling, quality, settings
 from voxloom.plans import adapters
 from voxloom.plans.adapters import read
 from voxloom.plans.registry import _QUERIES, _SCORED, _SQL, _scored, query
@@ -189,3 +189,28 @@ def cluster_documents(spark, sf_dir):
     lines = documents.info_lines(clusters, said.select("cluster_id", "episode", "position").distinct())
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "position", "k", "line"))), lambda x: x["line"]), "\n")
     return lines.groupBy("cluster_id").agg(text.alias("text"))
+
+
+# lenient speakers have a file of their own over the shared one; two of the values can't be used
+LAYERS = [
+    ("strict", 0, "quality_thresholds.min_duration", "4"),
+    ("strict", 0, "quality_thresholds.min_snr_db", "14.5"),
+    ("strict", 1, "quality_thresholds.min_word_count", "4"),
+    ("strict", 1, "quality_thresholds.min_duration", "five"),
+    ("lenient", 0, "quality_thresholds.max_duration", "20.0"),
+    ("lenient", 1, "quality_thresholds.max_duration", "40.0"),
+    ("lenient", 1, "quality_thresholds.min_speech_ratio", "1.5"),
+]
+
+
+@query(
+    f"""WITH {_SCORED.split(' j AS (')[0].rstrip().rstrip(',')}, p AS (SELECT *, CASE l_suppkey % 3 WHEN 0 THEN 'strict' WHEN 1 THEN 'lenient' ELSE 'plain' END AS profile FROM (SELECT h.*, speaker::BIGINT AS l_suppkey FROM h)),
+    s AS (SELECT *, CASE profile WHEN 'strict' THEN 4.0 ELSE 2.0 END AS low, CASE profile WHEN 'lenient' THEN 40.0 ELSE 15.0 END AS high, CASE profile WHEN 'strict' THEN 14.5 ELSE 12.0 END AS least, CASE profile WHEN 'strict' THEN 4 ELSE 3 END AS words FROM p)
+    SELECT l_orderkey, l_linenumber, profile, CASE WHEN duration < low THEN 'too_short' WHEN duration > high THEN 'too_long' WHEN snr < least THEN 'low_snr' WHEN speech_ratio < 0.5 THEN 'low_speech_ratio' WHEN word_count < words THEN 'too_few_words' WHEN NOT complete THEN 'incomplete_words' WHEN quality < 0.5 THEN 'low_quality' END AS reason FROM s"""
+)
+def cascade_by_settings(spark, sf_dir):
+    key = c("speaker").cast("long") % 3
+    rows = _scored(spark, sf_dir).drop("reason").withColumn("profile", F.when(key == 0, "strict").when(key == 1, "lenient").otherwise("plain"))
+    layers = settings.resolved(spark.createDataFrame(LAYERS, settings.LAYERS), settings.ACCEPT)
+    rules = quality.AcceptRules(*[c(s.column) for s in settings.ACCEPT])
+    return settings.with_settings(rows, layers, settings.ACCEPT).select("l_orderkey", "l_linenumber", "profile", quality.reason(rules).alias("reason"))
