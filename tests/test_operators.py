@@ -167,3 +167,10 @@ def test_stages(spark, tmp_path):
     assert log.done[:1] == ["one"] and log.scores["two"] == 5.0
     again = runner.run_stages(spark, [one], str(tmp_path))
     assert again.skipped == ["one"]
+
+
+def test_vocals_file_by_pattern(spark):
+    names = {"a": ["a_Vocals.wav", "a_(Vocals)_model.wav", "zz Vocals.wav"], "b": ["x b y Vocals.wav", "b_Vocals.wav"], "c": ["Vocals c.wav", "_c_Vocals_.wav"], "d": ["Vocals d.wav", "d.wav"], "e": ["e_vocals.wav", "e_(Vocals).mp3"], "f[1]": ["f[1]_(Vocals).wav", "f1_(Vocals).wav"]}
+    rows = [(s, n, f"{s}/{n}") for s, some in names.items() for n in some]
+    got = {r["stem"]: r["path"].split("/", 1)[1] for r in clips.vocals_file(spark.createDataFrame(rows, "stem string, name string, path string")).collect()}
+    assert got == {"a": "a_(Vocals)_model.wav", "b": "b_Vocals.wav", "c": "_c_Vocals_.wav", "d": "Vocals d.wav", "f[1]": "f[1]_(Vocals).wav"}

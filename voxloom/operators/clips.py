@@ -111,13 +111,18 @@ def dialogue(lines: DataFrame, mapping: DataFrame) -> DataFrame:
     return placed.join(before.select("episode", "before"), "episode").withColumn("place", F.col("before") + F.col("of_episode")).drop("before", "of_episode", "position")
 
 
-# fixed values: names of separated vocals, the likeliest first
-VOCALS = (r"_\(vocals\)\.wav$", r"_vocals\.wav$", r"^vocals\.wav$", r"vocals.*\.wav$")
-
-
 def vocals_file(files: DataFrame) -> DataFrame:
-    """(stem, path): of each recording's files (stem, name, path) the one whose name fits the likeliest pattern."""
-    rank = F.coalesce(*[F.when(F.lower("name").rlike(p), F.lit(k)) for k, p in enumerate(VOCALS)])
+    """(stem, path): of each recording's files (stem, name, path) the one whose name fits the first pattern that any fits; of several the least path.
+
+    Patterns are fixed values, case counts and a stem stands for itself: `{stem}_(Vocals)*.wav`, `{stem}_Vocals.wav`,
+    `*{stem}*Vocals*.wav`, `*Vocals*.wav`.
+    """
+    name, stem = F.col("name"), F.col("stem")
+    wav = name.endswith(".wav")
+    # what follows the first place of the stem holds every later one
+    after = F.when(F.contains(name, stem), F.substring(name, F.position(stem, name) + F.length(stem), F.length(name)))
+    rank = F.when(F.startswith(name, F.concat(stem, F.lit("_(Vocals)"))) & wav, 0).when(name == F.concat(stem, F.lit("_Vocals.wav")), 1)
+    rank = rank.when(after.rlike(r"(?s)Vocals.*\.wav$"), 2).when(name.rlike(r"(?s)Vocals.*\.wav$"), 3)
     return files.withColumn("rank", rank).where("rank is not null").groupBy("stem").agg(F.min_by("path", F.struct("rank", "path")).alias("path"))
 
 
@@ -127,7 +132,8 @@ def first_file(files: DataFrame, by: str) -> DataFrame:
 
 def dataset_manifest(accepted: DataFrame, texts: DataFrame, val_share: int = 10) -> DataFrame:
     """(clip, speaker, text, duration, split) of accepted clips with a text; one in val_share clips, by hash, validates."""
-    split = F.when(F.pmod(F.crc32(F.col("clip").cast("string").cast("binary")), F.lit(val_share)) == 0, "val").otherwise("train")
+    digest = F.sha2(F.col("clip").cast("string").cast("binary"), 256)
+    split = F.when(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % val_share == 0, "val").otherwise("train")
     said = accepted.join(texts, "clip").withColumn("text", F.trim("text")).where("text <> ''")
     return said.select("clip", "speaker", "text", "duration", split.alias("split"))
 

@@ -213,10 +213,10 @@ def media_validity(spark, sf_dir):
 
 @query(
     r"""WITH c AS (SELECT page_id, coalesce(nullif(trim(trim(regexp_replace(translate(url, '<>:"/\|?*', '_________'), '_{2,}', '_', 'g'), '_')), ''), 'unnamed') AS clean FROM pages),
-    n AS (SELECT *, row_number() OVER (PARTITION BY clean ORDER BY page_id) - 1 AS k FROM c) SELECT page_id, clean, CASE WHEN k > 0 THEN clean || '_' || k ELSE clean END AS unique_name FROM n"""
+    n AS (SELECT *, row_number() OVER (PARTITION BY clean ORDER BY page_id) - 1 AS k FROM c) SELECT n.page_id, clean, CASE WHEN k > 0 THEN clean || '_' || k ELSE clean END AS unique_name, replace(rtrim(regexp_replace(url, '[^\p{L}\p{N} _-]', '', 'g')), ' ', '_') AS archive FROM n JOIN pages ON pages.page_id = n.page_id"""
 )
 def clean_names(spark, sf_dir):
-    return transcripts.unique_names(read(spark, sf_dir, "pages"), "url", "page_id").select("page_id", "clean", "unique_name")
+    return transcripts.unique_names(read(spark, sf_dir, "pages"), "url", "page_id").select("page_id", "clean", "unique_name", T.archive_name(F.col("url")).alias("archive"))
 
 
 @query("SELECT label::VARCHAR AS label, count(*) AS segments, round(sum(1.0 + vec_id % 7), 6)::DOUBLE AS total_duration, count(DISTINCT vec_id % 20) AS episodes, 1::BIGINT AS speakers, round(avg(vec_id * 37 % 100 / 100.0), 6) AS quality FROM embeddings GROUP BY label")

@@ -153,15 +153,19 @@ def embedding_input(spark, sf_dir):
 
 
 @query(
-    """+ k AS (SELECT episode, speaker, ordinal, "start", "end", row_number() OVER (PARTITION BY episode, speaker ORDER BY "start", ordinal)::INTEGER AS number FROM seg WHERE duration >= 2.0)
-    SELECT episode, speaker AS character, number, ordinal, least(64, greatest(0, floor("end" / 100)::INTEGER - floor("start" / 100)::INTEGER))::INTEGER AS n FROM k WHERE floor("start" / 100) < 800 AND floor("end" / 100) <= 800""",
-    ("seg",),
+    """WITH r AS (SELECT vec_id::VARCHAR AS episode, list_transform(embedding, lambda x: x::DOUBLE) AS samples FROM embeddings),
+    k AS (SELECT (event_id % 400)::VARCHAR AS episode, 'c' || (user_id % 3) AS character, event_id AS ordinal, (event_id % 13)::DOUBLE AS s, event_id % 13 + value AS e FROM events WHERE value >= 2.0),
+    n AS (SELECT *, row_number() OVER (PARTITION BY episode, character ORDER BY s, ordinal)::INTEGER AS number FROM k)
+    SELECT n.episode, character, number, ordinal, (floor(e * 4) - floor(s * 4))::INTEGER AS n, round(list_sum(list_transform(samples[floor(s * 4)::INTEGER + 1 : floor(e * 4)::INTEGER], lambda x, i: x * i)), 6) AS mark
+    FROM n JOIN r ON r.episode = n.episode WHERE floor(s * 4) < len(samples) AND floor(e * 4) <= len(samples)"""
 )
 def extracted_clips(spark, sf_dir):
-    seg = adapters.segments(spark, sf_dir).where("duration >= 2.0").withColumn("character", c("speaker"))
-    recordings = seg.select("episode").distinct().withColumns({"samples": F.array_repeat(F.lit(0.0), 800), "sample_rate": F.lit(0.01)})
-    out = clips.extract(seg, recordings)
-    return out.select("episode", "character", "number", "ordinal", F.least(F.lit(64), F.size("samples")).alias("n"))
+    recordings = read(spark, sf_dir, "embeddings").select(c("vec_id").cast("string").alias("episode"), c("embedding").cast("array<double>").alias("samples"), F.lit(4.0).alias("sample_rate"))
+    start = (c("event_id") % 13).cast("double")
+    kept = read(spark, sf_dir, "events").where("value >= 2.0").select((c("event_id") % 400).cast("string").alias("episode"), F.concat(F.lit("c"), (c("user_id") % 3).cast("string")).alias("character"), c("event_id").alias("ordinal"), start.alias("start"), (start + c("value")).alias("end"))
+    out = clips.extract(kept, recordings)
+    mark = F.aggregate(F.transform("samples", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, b: a + b)
+    return out.select("episode", "character", "number", "ordinal", F.size("samples").alias("n"), F.round(mark, 6).alias("mark"))
 
 
 def _files(spark, sf_dir):
@@ -235,14 +239,16 @@ def dialogue_order(spark, sf_dir):
 
 
 @query(
-    """WITH f AS (SELECT 'rec' || (p_partkey % 40) AS stem, CASE p_partkey % 4 WHEN 0 THEN 'a_(Vocals).wav' WHEN 1 THEN 'a_vocals.wav' WHEN 2 THEN 'my vocals 2.wav' ELSE 'drums.wav' END AS name, 'p/' || p_partkey AS path FROM part),
-    r AS (SELECT *, CASE p WHEN 'a_(Vocals).wav' THEN 0 WHEN 'a_vocals.wav' THEN 1 WHEN 'my vocals 2.wav' THEN 3 END AS k FROM (SELECT *, name AS p FROM f))
+    """WITH f AS (SELECT s AS stem, CASE p_partkey % 7 WHEN 0 THEN s || '_(Vocals)_model.wav' WHEN 1 THEN s || '_Vocals.wav' WHEN 2 THEN 'mix ' || s || ' Vocals 2.wav' WHEN 3 THEN 'Vocals ' || s || '.wav' WHEN 4 THEN s || '_vocals.wav' WHEN 5 THEN s || '_(Vocals).flac' ELSE 'drums.wav' END AS name, 'p/' || p_partkey AS path FROM (SELECT p_partkey, 'rec' || (p_partkey // 4 % 90) AS s FROM part)),
+    r AS (SELECT *, CASE WHEN name GLOB stem || '_(Vocals)*.wav' THEN 0 WHEN name GLOB stem || '_Vocals.wav' THEN 1 WHEN name GLOB '*' || stem || '*Vocals*.wav' THEN 2 WHEN name GLOB '*Vocals*.wav' THEN 3 END AS k FROM f)
     SELECT stem, arg_min(path, (k, path)) AS path FROM r WHERE k IS NOT NULL GROUP BY stem"""
 )
 def vocals_files(spark, sf_dir):
-    kind = c("p_partkey") % 4
-    name = F.when(kind == 0, "a_(Vocals).wav").when(kind == 1, "a_vocals.wav").when(kind == 2, "my vocals 2.wav").otherwise("drums.wav")
-    f = read(spark, sf_dir, "part").select(F.concat(F.lit("rec"), (c("p_partkey") % 40).cast("string")).alias("stem"), name.alias("name"), F.concat(F.lit("p/"), c("p_partkey").cast("string")).alias("path"))
+    stem, say = F.concat(F.lit("rec"), (F.floor(c("p_partkey") / 4) % 90).cast("string")), lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v for v in x])
+    kind, s = c("p_partkey") % 7, c("stem")
+    names = [say(s, "_(Vocals)_model.wav"), say(s, "_Vocals.wav"), say("mix ", s, " Vocals 2.wav"), say("Vocals ", s, ".wav"), say(s, "_vocals.wav"), say(s, "_(Vocals).flac")]
+    name = F.coalesce(*[F.when(kind == k, n) for k, n in enumerate(names)], F.lit("drums.wav"))
+    f = read(spark, sf_dir, "part").withColumn("stem", stem).select("stem", name.alias("name"), say("p/", c("p_partkey").cast("string")).alias("path"))
     return clips.vocals_file(f)
 
 
@@ -252,11 +258,11 @@ def first_reference(spark, sf_dir):
     return clips.first_file(f, "folder")
 
 
-@query(f"WITH {_SCORED} SELECT l_orderkey || '-' || l_linenumber AS clip, speaker, o_orderpriority AS text, duration FROM j JOIN orders ON o_orderkey = l_orderkey WHERE reason IS NULL AND trim(o_orderpriority) <> ''")
+@query(f"WITH {_SCORED} SELECT l_orderkey || '-' || l_linenumber AS clip, speaker, o_orderpriority AS text, duration, CASE WHEN ('0x' || sha256(l_orderkey || '-' || l_linenumber)[1:8])::BIGINT % 10 = 0 THEN 'val' ELSE 'train' END AS split FROM j JOIN orders ON o_orderkey = l_orderkey WHERE reason IS NULL AND trim(o_orderpriority) <> ''")
 def dataset_manifest(spark, sf_dir):
     accepted = _scored(spark, sf_dir).where("reason is null").withColumn("clip", F.concat_ws("-", c("l_orderkey").cast("string"), c("l_linenumber").cast("string")))
     texts = accepted.select("clip", "l_orderkey").join(read(spark, sf_dir, "orders"), c("l_orderkey") == c("o_orderkey")).groupBy("clip").agg(F.min("o_orderpriority").alias("text"))
-    return clips.dataset_manifest(accepted, texts).drop("split")
+    return clips.dataset_manifest(accepted, texts)
 
 
 @query(
@@ -270,10 +276,14 @@ def transcript_alignment(spark, sf_dir):
 
 
 @query(
-    """WITH s AS (SELECT conv_id, turn, left(text, 50) || CASE WHEN len(text) > 50 THEN '...' ELSE '' END AS quote, lower(text) SIMILAR TO '.*\\.(wav|mp3|flac|ogg)' AS attachment FROM conversations) SELECT * FROM s"""
+    r"""WITH s AS (SELECT conv_id, turn, text, role || '-' || turn || CASE (conv_id + turn) % 6 WHEN 0 THEN '.wav' WHEN 1 THEN '.MP3' WHEN 2 THEN '.txt' WHEN 3 THEN '.tar.flac' WHEN 4 THEN 'wav' ELSE '.Ogg' END AS name FROM conversations)
+    SELECT conv_id, turn, left(text, 50) || CASE WHEN len(text) > 50 THEN '...' ELSE '' END AS quote, regexp_matches(lower(name), '\.(wav|mp3|flac|ogg)$') AS attachment FROM s"""
 )
 def quotations(spark, sf_dir):
-    return read(spark, sf_dir, "conversations").select("conv_id", "turn", clips.shortened(c("text")).alias("quote"), clips.is_audio_attachment(c("text")).alias("attachment"))
+    kind = (c("conv_id") + c("turn")) % 6
+    ending = F.coalesce(*[F.when(kind == k, e) for k, e in enumerate((".wav", ".MP3", ".txt", ".tar.flac", "wav"))], F.lit(".Ogg"))
+    name = F.concat("role", F.lit("-"), c("turn").cast("string"), ending)
+    return read(spark, sf_dir, "conversations").select("conv_id", "turn", clips.shortened(c("text")).alias("quote"), clips.is_audio_attachment(name).alias("attachment"))
 
 
 @query("SELECT event_id, try_cast(x AS DOUBLE) AS number, CASE WHEN try_cast(x AS DOUBLE) IS NULL THEN 'not a number: ' || x END AS error FROM (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN event_type ELSE value::VARCHAR END AS x FROM events)")
@@ -322,7 +332,7 @@ def snr_variants(spark, sf_dir):
 
 @query(
     r"""+ n AS (SELECT vec_id, 'ep' || episode || '_' || speaker || '_' || vec_id || CASE WHEN vec_id % 3 = 0 THEN '_processed.wav' ELSE '.wav' END AS name FROM vox)
-    SELECT vec_id, 'ep' || split_part(name, '_', 1)[3:] AS episode, (vec_id % 60)::DOUBLE / CASE WHEN vec_id % 5 = 0 THEN 1 ELSE vec_id % 5 END * CASE WHEN vec_id % 5 = 0 THEN 0 ELSE 1 END AS fps, 'A_b-' || vec_id AS archive FROM n""",
+    SELECT vec_id, 'ep' || split_part(name, '_', 1)[3:] AS episode, (vec_id % 60)::DOUBLE / CASE WHEN vec_id % 5 = 0 THEN 1 ELSE vec_id % 5 END * CASE WHEN vec_id % 5 = 0 THEN 0 ELSE 1 END AS fps FROM n""",
     ("vox",),
 )
 def name_parts(spark, sf_dir):
@@ -330,7 +340,7 @@ def name_parts(spark, sf_dir):
     tail = F.when(c("vec_id") % 3 == 0, "_processed.wav").otherwise(".wav")
     name = F.concat_ws("", F.lit("ep"), "episode", F.lit("_"), "speaker", F.lit("_"), c("vec_id").cast("string"), tail)
     ratio = F.concat_ws("/", (c("vec_id") % 60).cast("string"), (c("vec_id") % 5).cast("string"))
-    return v.select("vec_id", T.episode_of_clip(name).alias("episode"), T.frame_rate(ratio).alias("fps"), T.archive_name(F.concat(F.lit("A b-!?"), c("vec_id").cast("string"), F.lit("  "))).alias("archive"))
+    return v.select("vec_id", T.episode_of_clip(name).alias("episode"), T.frame_rate(ratio).alias("fps"))
 
 
 @query()
