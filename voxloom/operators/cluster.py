@@ -8,6 +8,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.operators.ward import ward
+
 
 def neighbours(vectors: DataFrame, eps: float, block: int = 2048) -> DataFrame:
     """(a, b) with 1 - dot <= eps, both directions and itself: exact, by blocks of vectors against blocks.
@@ -88,6 +90,15 @@ def apply_labels(mapping: DataFrame, labels: DataFrame) -> DataFrame:
     return mapping.join(labels, "cluster_id", "left").withColumn("label", F.coalesce("label", F.concat(F.lit("cluster_"), F.col("cluster_id").cast("string"))))
 
 
-def estimated_clusters(speakers: int, episodes: int) -> int:
-    """Number of clusters to cut a tree into, from distinct speakers and episodes."""
-    return max(4, episodes - 2, min(speakers // 3, episodes + 3, 12))
+def estimated_clusters(speakers: int, expected: int) -> int:
+    """Number of clusters to cut a tree into, from the distinct speakers and the number of voices aimed at."""
+    return max(4, expected - 2, min(speakers // 3, expected + 3, 12))
+
+
+def cluster_voices(vectors: DataFrame, algorithm: str = "dbscan", eps: float = 0.25, min_samples: int = 5, clusters: int | None = None, expected: int = 0) -> DataFrame:
+    """(vec_id, cluster_id) by density or by Ward's tree; without a number of clusters that is estimated. Another algorithm is an error."""
+    if algorithm == "dbscan":
+        return dbscan(vectors, eps, min_samples)
+    if algorithm == "hierarchical":
+        return ward(vectors, clusters or estimated_clusters(vectors.select("speaker").distinct().count(), expected))
+    raise ValueError(f"unsupported clustering algorithm: {algorithm}")

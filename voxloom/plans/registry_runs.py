@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voxloom.operators import attempts, documents, joined_hits, labeling, quality, settings
+from voxloom.operators import attempts, cluster, documents, joined_hits, labeling, quality, settings
 from voxloom.plans import adapters
 from voxloom.plans.adapters import read
 from voxloom.plans.registry import _QUERIES, _SCORED, _SQL, _scored, query
@@ -214,3 +214,11 @@ def cascade_by_settings(spark, sf_dir):
     layers = settings.resolved(spark.createDataFrame(LAYERS, settings.LAYERS), settings.ACCEPT)
     rules = quality.AcceptRules(*[c(s.column) for s in settings.ACCEPT])
     return settings.with_settings(rows, layers, settings.ACCEPT).select("l_orderkey", "l_linenumber", "profile", quality.reason(rules).alias("reason"))
+
+
+# no SQL twin: tests hold the cut against the textbook form
+def ward_clusters(spark, sf_dir):
+    return cluster.cluster_voices(adapters.voices(spark, sf_dir), "hierarchical", expected=7)
+
+
+_QUERIES["ward_clusters"] = ward_clusters
