@@ -81,15 +81,12 @@ def oracle_sql() -> dict[str, str]:
             r(id, root) AS (SELECT doc_id, doc_id FROM s UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id)
             SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id FROM s JOIN (SELECT id, min(root) AS component_id FROM r GROUP BY id) c ON c.id = s.doc_id""",
         "op2_warc_chunks": """
-            WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS h FROM pages),
-            q AS (SELECT page_id, octet_length(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM p),
-            f AS (SELECT payload_digest, min(page_id) AS first_id FROM q WHERE payload_bytes >= 100 GROUP BY 1)
-            SELECT q.page_id, q.payload_bytes, q.payload_digest,
-              CASE WHEN first_id <> q.page_id THEN 'revisit' ELSE 'response' END AS record_type,
-              CASE WHEN first_id <> q.page_id THEN first_id END AS refers_to,
-              greatest(1, ceil(CASE WHEN first_id <> q.page_id THEN 0 ELSE payload_bytes END / 1048576.0))::BIGINT AS chunks,
-              CASE WHEN first_id <> q.page_id THEN NULL ELSE TRUE END AS verified
-            FROM q LEFT JOIN f ON q.payload_digest = f.payload_digest""",
+            WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS h FROM pages),
+            q AS (SELECT page_id, url, octet_length(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM p),
+            f AS (SELECT *, payload_bytes >= 100 AND row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST, url NULLS LAST) > 1 AS again, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM q)
+            SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first_id END AS refers_to,
+              greatest(1, ceil(CASE WHEN again THEN 0 ELSE payload_bytes END / 1048576.0))::BIGINT AS chunks, CASE WHEN again THEN NULL ELSE TRUE END AS verified
+            FROM f""",
         "op5_vafile_top_k": """
             WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)) AS x FROM embeddings
               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),

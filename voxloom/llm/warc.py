@@ -7,10 +7,13 @@ Read: a task streams an archive member by member and yields a chunked record tab
 (record id, chunk number, at most chunk_bytes of payload, running SHA-256), so no task ever holds
 a whole payload.
 
-Edge cases: a null html is an empty payload; repeated rows of one page id each make a record, the
-first of them in no fixed order being the response; a null page id is written as such and never is
-the record referred to unless all its copies have none; an empty table writes no archive and reads
-back empty; further columns are ignored.
+Reading takes foreign archives too: a record of any type, with or without an HTTP block, a digest or a length of its own,
+gives chunk rows; what it doesn't declare is null.
+
+Edge cases: a null html is an empty payload; of rows that repeat a page id with one payload a single one is the
+response, the one of the least url, the others revisit it; a null page id is written as such, comes last and is
+referred to only if all copies have none (refers_to is then null); an empty table writes no archive and reads back empty;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -51,14 +54,32 @@ CHUNKS = T.StructType(
 
 
 def plan_records(pages: DataFrame) -> DataFrame:
-    """pages plus payload_digest, payload_bytes, record_type and refers_to. Only ids and digests are shuffled twice; payloads once."""
+    """(page_id, url, payload, payload_digest, payload_bytes, record_type, refers_to) for every row of pages.
+
+    Ids and digests are shuffled twice, payloads of MIN_SHARED_BYTES once, shorter ones stay where they are. Equal rows of the
+    first id of a payload are counted before the shuffle, so however often one repeats, no task meets them all.
+    """
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(payload, "UTF-8").alias("payload"))
     rows = rows.withColumns({"payload_digest": F.sha2("payload", 256), "payload_bytes": F.octet_length("payload").cast("long")})
-    shared = rows.where(F.col("payload_bytes") >= MIN_SHARED_BYTES).groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1").select("payload_digest", "first_id")
-    joined = rows.join(shared, "payload_digest", "left")
-    again = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    return joined.select("page_id", "url", "payload", "payload_digest", "payload_bytes", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first_id")).alias("refers_to"))
+    every = ["page_id", "url", "payload", "payload_digest", "payload_bytes", "record_type", "refers_to"]
+    none = F.lit(None).cast("long")
+    short = rows.where(F.col("payload_bytes") < MIN_SHARED_BYTES).withColumns({"record_type": F.lit("response"), "refers_to": none})
+    long = rows.where(F.col("payload_bytes") >= MIN_SHARED_BYTES)
+    # nulls last, in ids and urls
+    place = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", F.col("url").isNull().alias("no_url"), "url")
+    copies = long.groupBy("payload_digest", "page_id", "url").agg(F.count("*").alias("n"))
+    first = copies.groupBy("payload_digest").agg(F.min(place).alias("first"), F.min_by("n", place).alias("times"), F.sum("n").alias("copies")).where("copies > 1")
+    joined = long.join(first.select("payload_digest", "first", "times"), "payload_digest", "left")
+    of_first = F.col("page_id").eqNullSafe(F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.url"))
+    revisit = F.col("first").isNotNull() & ~of_first
+    repeated = F.coalesce(of_first & (F.col("times") > 1), F.lit(False))
+    once = joined.where(~repeated).withColumns({"record_type": F.when(revisit, "revisit").otherwise("response"), "refers_to": F.when(revisit, F.col("first.page_id"))})
+    again = joined.where(repeated).groupBy("page_id", "url", "payload_digest", "payload_bytes").agg(F.first("payload").alias("whole"), F.count("*").alias("n"))
+    again = again.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    # a revisit has no payload to carry
+    again = again.withColumns({"payload": F.when(F.col("k") == 1, F.col("whole")), "record_type": F.when(F.col("k") == 1, "response").otherwise("revisit"), "refers_to": F.when(F.col("k") > 1, F.col("page_id"))})
+    return short.select(*every).unionByName(once.select(*every)).unionByName(again.select(*every))
 
 
 def _member(page: dict, level: int) -> Iterator[bytes]:
@@ -76,7 +97,9 @@ def _member(page: dict, level: int) -> Iterator[bytes]:
         f"WARC-Payload-Digest: sha256:{page['payload_digest']}",
         "Content-Type: application/http;msgtype=response",
     ]
-    if revisit:
+    if revisit and page["refers_to"] is None:
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+    elif revisit:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <{RECORD_PREFIX}{page['refers_to']}>"]
     head.append(f"Content-Length: {len(http) + len(payload)}")
     packer = zlib.compressobj(level, zlib.DEFLATED, 31)
@@ -86,6 +109,11 @@ def _member(page: dict, level: int) -> Iterator[bytes]:
     yield packer.compress(CRLF + CRLF) + packer.flush()
 
 
+def _place(folder: str) -> tuple[fs.FileSystem, str]:
+    """The folder's store for Arrow, which knows s3 by its plain name. Stores that only Hadoop reaches can't hold archives."""
+    return fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
+
+
 def write_archives(planned: DataFrame, folder: str, level: int = 1) -> DataFrame:
     """Write planned records below folder, an archive for each task; returns the manifest (path, records, bytes).
 
@@ -95,7 +123,7 @@ def write_archives(planned: DataFrame, folder: str, level: int = 1) -> DataFrame
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
 
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = _place(folder)
         path, out, records, size = f"{root}/{uuid.uuid4().hex}.warc.gz", None, 0, 0
         for batch in batches:
             columns = {k: batch.column(k) for k in batch.schema.names}
@@ -172,7 +200,7 @@ def read_chunks(manifest: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("target_uri", pa.string()), ("refers_to", pa.string()), ("chunk_no", pa.int64()), ("chunk", pa.binary()), ("running_digest", pa.string()), ("running_bytes", pa.int64()), ("declared_digest", pa.string()), ("declared_bytes", pa.int64()), ("is_last", pa.bool_())])
-        store = fs.FileSystem.from_uri(folder)[0]
+        store = _place(folder)[0]
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 rows, held = [], 0
@@ -196,10 +224,15 @@ def read_chunks(manifest: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES
 def _record(stream: _Stream, head: dict[str, str], chunk_bytes: int) -> Iterator[list]:
     """Chunk rows of one record, its WARC header being read."""
     bare = lambda x: x.strip("<>") if x else None
-    http, used = stream.header() or ({}, 0)
-    left, digest, number, so_far = int(head["content-length"]) - used, hashlib.sha256(), 0, 0
-    fixed = [bare(head["warc-record-id"]), head["warc-type"], head.get("warc-target-uri"), bare(head.get("warc-refers-to"))]
-    declared = [head["warc-payload-digest"].partition(":")[2], int(http["content-length"])]
+    whole = int(head.get("content-length", 0))
+    # a block of another kind is payload from its first byte
+    has_http = whole > 0 and head.get("content-type", "").lower().startswith("application/http")
+    http, used = (stream.header() or ({}, 0)) if has_http else ({}, 0)
+    left, digest, number, so_far = max(0, whole - used), hashlib.sha256(), 0, 0
+    fixed = [bare(head.get("warc-record-id")), head.get("warc-type"), head.get("warc-target-uri"), bare(head.get("warc-refers-to"))]
+    kind, _, value = head.get("warc-payload-digest", "").partition(":")
+    length = http.get("content-length", "")
+    declared = [value if kind.lower() == "sha256" else None, int(length) if length.isdigit() else None]
     while True:
         parts, size = [], 0
         while left and size < chunk_bytes:
