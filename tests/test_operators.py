@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import signal as S
 from voxloom.functions import spectral
-from voxloom.operators import clips, dedup, labeling, reports, transcripts
+from voxloom.operators import clips, dedup, labeling, ordering, reports, transcripts
 from voxloom.plans import runner
 from voxloom.sources import files
 from voxloom.streaming import turns
@@ -59,6 +59,14 @@ def test_assign_labels_passes(spark):
     got = {r["speaker"]: r["label"] for r in labeling.assign_labels(spark.createDataFrame(scores, "speaker string, label string, score double"), s, ["anna", "ben", "cara", "dan"]).collect()}
     # c1 wins anna (1); c3 dominates with ben, c4 doesn't (2); c2 takes the next name, c5 is too short for its own (3); 4 for the rest
     assert got == {"c1": "anna", "c2": "cara", "c3": "ben", "c4": "mixed_cluster_c4", "c5": "major_character_unknown_c5", "c6": "narrator", "c7": "theme_song_c7", "c8": "minor_character_c8"}
+    notes = {r["speaker"]: r["note"] for r in labeling.assign_labels(spark.createDataFrame(scores, "speaker string, label string, score double"), s, ["anna", "ben", "cara", "dan"]).collect()}
+    assert notes["c1"] == "Cluster c1 → anna: content score 0.20, 90 dialogue segments, 15.0min across 5 episodes"
+    assert notes["c3"] == "Cluster c3 → ben: DOMINANT in MIXED CLUSTER (others: ben, cara), score 0.20, 90 segments"
+    assert notes["c4"] == "Cluster c4 → mixed_cluster_c4: MIXED CLUSTER detected: cara, dan. Manual review required."
+    assert notes["c2"] == "Cluster c2 → cara: Fallback assignment (high quality), 90 segments, 13.3min across 5 episodes"
+    assert notes["c5"] == "Cluster c5 → major_character_unknown_c5: Unassigned major cluster. Quality too low for fallback assignment."
+    assert notes["c6"] == "Cluster c6 → narrator: Likely theme song cluster (90% theme), 0.7min" and notes["c7"] == "Cluster c7 → theme song: additional theme cluster (90% theme), 0.5min"
+    assert notes["c8"] == "Cluster c8 → minor character: 1 dialogue segments, manual review needed"
     empty = labeling.assign_labels(spark.createDataFrame([], "speaker string, label string, score double"), s.limit(0), ["anna"])
     assert empty.collect() == []
 
@@ -174,3 +182,28 @@ def test_vocals_file_by_pattern(spark):
     rows = [(s, n, f"{s}/{n}") for s, some in names.items() for n in some]
     got = {r["stem"]: r["path"].split("/", 1)[1] for r in clips.vocals_file(spark.createDataFrame(rows, "stem string, name string, path string")).collect()}
     assert got == {"a": "a_(Vocals)_model.wav", "b": "b_Vocals.wav", "c": "_c_Vocals_.wav", "d": "Vocals d.wav", "f[1]": "f[1]_(Vocals).wav"}
+
+
+def test_main_voices_weigh_less_in_short_clusters(spark):
+    stats = [("a", 60.0, 2, 90, 100, 0.0), ("b", 50.0, 8, 90, 100, 0.0), ("c", 40.0, 4, 90, 100, 0.0)]
+    scores = [("a", "anna", 0.15), ("b", "ben", 0.15), ("c", "anna", 0.15), ("c", "ben", 0.1)]
+    s = spark.createDataFrame(stats, "speaker string, total_duration double, episodes int, dialogue int, segments int, theme_ratio double")
+    t = spark.createDataFrame(scores, "speaker string, label string, score double")
+    label = lambda main: {r["speaker"]: r["label"] for r in labeling.assign_labels(t, s, ["anna", "ben"], main=main).collect()}
+    assert label(()) == {"a": "anna", "b": "ben", "c": "mixed_cluster_c"}
+    # a: 0.15 * (0.5 + 0.5 * 0.5 * 0.5) is under 0.1, and no name is left for its turn; in c anna still leads
+    assert label(("anna",)) == {"a": "minor_character_a", "b": "ben", "c": "anna"}
+
+
+def test_numbers_over_a_whole_table(spark):
+    rows = [(k * 7919 % 1000, f"s{k % 3}") for k in range(1000)]
+    df = spark.createDataFrame(rows, "k int, s string").repartition(13)
+    got = ordering.numbered(df, [F.col("s"), F.desc("k")], "place").orderBy("place").collect()
+    assert [(r["s"], r["k"]) for r in got] == sorted(((s, k) for k, s in rows), key=lambda x: (x[0], -x[1])) and [r["place"] for r in got] == list(range(1, 1001))
+    assert ordering.numbered(df.where("false"), ["k"], "place").count() == 0
+
+
+def test_first_texts(spark):
+    rows = [(1, "x", "A"), (2, "x", "a"), (3, "y", "a"), (4, None, "a"), (5, None, "A"), (6, "x", None), (7, "x", None)]
+    got = dedup.first_texts(spark.createDataFrame(rows, "i int, g string, t string"), "g", "t", "i")
+    assert got.columns == ["i", "g", "t"] and sorted(map(tuple, got.collect()), key=lambda r: r[0]) == [rows[k] for k in (0, 2, 3, 5)]

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.operators.ordering import numbered
 from voxloom.operators.ward import ward
+from voxloom.scratch import delete, shared_folder, stored
 
 
 def neighbours(vectors: DataFrame, eps: float, block: int = 2048) -> DataFrame:
@@ -37,21 +38,25 @@ def neighbours(vectors: DataFrame, eps: float, block: int = 2048) -> DataFrame:
 
 def dbscan(vectors: DataFrame, eps: float = 0.25, min_samples: int = 5) -> DataFrame:
     """(vec_id, cluster_id) by density: clusters numbered by their least core id, border points to the least cluster, noise -1."""
-    edges = neighbours(vectors, eps).persist(StorageLevel.DISK_ONLY)
-    core = edges.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= min_samples).select("a")
-    links = edges.join(core, "a").join(core.withColumnRenamed("a", "b"), "b", "left_semi").persist(StorageLevel.DISK_ONLY)
-    labels = core.select(F.col("a").alias("id"), F.col("a").alias("label")).persist(StorageLevel.DISK_ONLY)
+    spark = vectors.sparkSession
+    folder = shared_folder(spark, "density")
+    edges = stored(neighbours(vectors, eps), f"{folder}/edges")
+    core = stored(edges.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= min_samples).select("a"), f"{folder}/core")
+    links = stored(edges.join(core, "a").join(core.withColumnRenamed("a", "b"), "b", "left_semi"), f"{folder}/links")
+    labels, step = core.select(F.col("a").alias("id"), F.col("a").alias("label")), 0
     while True:
         # least label of the neighbours, then a jump to that label's own label: rounds grow with the log of the diameter
         near = links.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("label"))
         jumped = near.join(near.select(F.col("id").alias("label"), F.col("label").alias("next")), "label", "left").select("id", F.least("label", F.coalesce("next", "label")).alias("label"))
-        new = jumped.checkpoint() if vectors.sparkSession.sparkContext.getCheckpointDir() else jumped.persist(StorageLevel.DISK_ONLY)
+        new = stored(jumped, f"{folder}/labels-{step}")
         changed = new.join(labels.withColumnRenamed("label", "old"), "id").where("label <> old").limit(1).count()
-        labels = new
+        delete(spark, f"{folder}/labels-{step - 1}")
+        labels, step = new, step + 1
         if not changed:
             break
-    numbered = labels.select("label").distinct().withColumn("cluster", F.dense_rank().over(Window.orderBy("label")) - 1)
-    inner = labels.join(numbered, "label").select("id", "cluster")
+    # a row for each cluster
+    in_order = numbered(labels.select("label").distinct(), ["label"], "cluster").withColumn("cluster", (F.col("cluster") - 1).cast("int"))
+    inner = labels.join(in_order, "label").select("id", "cluster")
     border = edges.join(core, "a", "left_anti").join(inner.select(F.col("id").alias("b"), "cluster"), "b").groupBy(F.col("a").alias("id")).agg(F.min("cluster").alias("cluster"))
     return vectors.select(F.col("vec_id").alias("id")).join(inner.unionAll(border), "id", "left").select(F.col("id").alias("vec_id"), F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster_id"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.operators.ordering import numbered
+
 
 def _zero(x: Column) -> Column:
     return F.coalesce(x, F.lit(0.0))
@@ -91,4 +93,4 @@ def run_metrics(log: DataFrame) -> DataFrame:
 
 def by_duration(stats: DataFrame, cluster: str) -> DataFrame:
     """stats with `place`, clusters of most seconds first, ties by name. The table has a row a cluster."""
-    return stats.withColumn("place", F.row_number().over(Window.orderBy(F.desc("total_duration"), cluster)))
+    return numbered(stats, [F.desc("total_duration"), F.col(cluster)], "place").withColumn("place", F.col("place").cast("int"))
