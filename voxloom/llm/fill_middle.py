@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.llm.names import free_name
 from voxloom.llm.tokens import slices
 
 PRE, SUF, MID = "<P>", "<S>", "<M>"
@@ -119,15 +120,6 @@ def _rewrite(batches: Iterator[pa.RecordBatch], plain_from: int, spm_below: int)
             yield pa.RecordBatch.from_arrays([batch.column("row").slice(start, rows), *made], ["row", "n", "form", "prefix_chars", "middle_chars", "output"])
 
 
-def free_name(name: str, taken: list[str]) -> str:
-    """name, or the first of name_1, name_2, ... that no column has, whatever its case."""
-    lower, k, now = {t.lower() for t in taken}, 0, name
-    while now.lower() in lower:
-        k += 1
-        now = f"{name}_{k}"
-    return now
-
-
 def fill_in_middle(docs: DataFrame, columns: list[str] | None = None, plain_from: int = PLAIN_FROM, spm_below: int = SPM_BELOW) -> DataFrame:
     """The given columns of docs (all, if none are given) with n, form, prefix_chars, middle_chars and output, the rewritten text, for every row."""
     columns = docs.columns if columns is None else columns

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.components import connected_components
+from voxloom.llm.names import free_name
 from voxloom.llm.workspace import Workspace
 
 SHINGLE = 6
@@ -254,24 +255,24 @@ def duplicate_lines(ws: Workspace, docs: DataFrame) -> DataFrame:
     return ws.table(named.join(first, "component").where(~kept).select("doc_id", "th", "line_no"), "gone")
 
 
-def _gone_of(ws: Workspace, docs: DataFrame) -> DataFrame:
-    """(__of, __th, __gone): the numbers of the lines that go, for each document that loses any."""
+def _gone_of(ws: Workspace, docs: DataFrame, of: str, th: str, gone: str) -> DataFrame:
+    """(of, th, gone): the numbers of the lines that go, for each document that loses any, under these names."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return duplicate_lines(ws, rows).groupBy(F.col("doc_id").alias("__of"), F.col("th").alias("__th")).agg(F.array_sort(F.collect_set("line_no")).alias("__gone"))
+    return duplicate_lines(ws, rows).groupBy(F.col("doc_id").alias(of), F.col("th").alias(th)).agg(F.array_sort(F.collect_set("line_no")).alias(gone))
 
 
-def _same() -> Column:
-    return F.col("doc_id").cast("long").eqNullSafe(F.col("__of")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__th"))
+def _same(of: str, th: str) -> Column:
+    return F.col("doc_id").cast("long").eqNullSafe(F.col(of)) & (F.xxhash64(F.col("text").cast("string")) == F.col(th))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_lines, n_dropped, dropped) for every row of docs; dropped: numbers of the lines that go, from 0."""
     with Workspace(docs.sparkSession, "lines") as ws:
-        gone = _gone_of(ws, docs)
+        gone = _gone_of(ws, docs, "of", "of_th", "gone")
         count = F.coalesce(F.greatest(F.size(F.split(F.col("text").cast("string"), "\n", -1)), F.lit(0)), F.lit(0))
         sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th"), count.alias("n_lines"))
-        joined = sizes.join(gone, F.col("doc_id").eqNullSafe(F.col("__of")) & (F.col("th") == F.col("__th")), "left")
-        return ws.keep(joined.select("doc_id", "n_lines", F.coalesce(F.size("__gone"), F.lit(0)).alias("n_dropped"), F.coalesce("__gone", F.array().cast("array<int>")).alias("dropped")))
+        joined = sizes.join(gone, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("th") == F.col("of_th")), "left")
+        return ws.keep(joined.select("doc_id", "n_lines", F.coalesce(F.size("gone"), F.lit(0)).alias("n_dropped"), F.coalesce("gone", F.array().cast("array<int>")).alias("dropped")))
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
@@ -279,21 +280,21 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
 
     Documents left without a line go; of rows equal in id and text one stays, whatever their further columns.
     """
+    of, th, lost, new = (free_name(n, docs.columns) for n in ("__of", "__th", "__gone", "__text"))
     with Workspace(docs.sparkSession, "lines") as ws:
-        gone = ws.keep(_gone_of(ws, docs), "dropped")
-        ids = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64(F.col("text").cast("string")).alias("__text"))
-        repeated = ws.keep(ids.groupBy("__id", "__text").agg(F.count("*").alias("__n")).where("__n > 1 and __text <> xxhash64(cast(null as string))"), "repeated")
-    same_row = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__text"))
+        gone = ws.keep(_gone_of(ws, docs, of, th, lost), "dropped")
+        ids = docs.select(F.col("doc_id").cast("long").alias(of), F.xxhash64(F.col("text").cast("string")).alias(th))
+        repeated = ws.keep(ids.groupBy(of, th).agg(F.count("*").alias("copies")).where((F.col("copies") > 1) & (F.col(th) != F.xxhash64(F.lit(None).cast("string")))), "repeated").select(of, th)
     if repeated.limit(1).count():
-        once = docs.join(repeated, same_row, "left_semi").dropDuplicates(["doc_id", "text"])
-        docs = docs.join(repeated, same_row, "left_anti").unionByName(once)
+        once = docs.join(repeated, _same(of, th), "left_semi").dropDuplicates(["doc_id", "text"])
+        docs = docs.join(repeated, _same(of, th), "left_anti").unionByName(once)
     # lines and places are bound once, so a long text costs as much as it has lines
     lines = F.split(F.col("text"), "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(lost))
     rest = F.transform(F.array(F.struct(lines.alias("lines"), kept.alias("kept"))), lambda x: F.array_join(F.transform(x["kept"], lambda i: F.get(x["lines"], i)), "\n"))
-    new_text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(rest[0])
-    cut = docs.join(gone, _same(), "left").withColumn("__text", new_text).where(F.col("__gone").isNull() | F.col("__text").rlike(r"\S"))
-    out = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": F.col("__text").alias("text")}
+    new_text = F.when(F.col(lost).isNull(), F.col("text")).otherwise(rest[0])
+    cut = docs.join(gone, _same(of, th), "left").withColumn(new, new_text).where(F.col(lost).isNull() | F.col(new).rlike(r"\S"))
+    out = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": F.col(new).alias("text")}
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length("__text")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
+        out["n_chars"] = F.when(F.col(lost).isNull(), F.col("n_chars")).otherwise(F.length(new)).cast(docs.schema["n_chars"].dataType).alias("n_chars")
     return cut.select(*out.values())

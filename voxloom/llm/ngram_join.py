@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from voxloom.llm.components import connected_components
 from voxloom.llm.tokens import long_lists, mix, shingle_sets, slices
+from voxloom.llm.names import free_name
 from voxloom.llm.workspace import Workspace
 
 WIDTH = 5
@@ -302,17 +303,17 @@ def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = 80) -> DataFram
     The row of the least (id, set) stays, an id of null last. Rows that repeat an id are told apart by their sets;
     of rows equal in id and set one stays.
     """
-    key = "__set"
+    key, of = (free_name(n, docs.columns) for n in ("__set", "__of"))
     with Workspace(docs.sparkSession, "keep") as ws:
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         linked = ws.table(_components(rows, width, percent), "linked")
         order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sid")
         best = ws.table(linked.where("n > 0").groupBy("component").agg(F.min(order).alias("best"), F.count("*").alias("rows")).where("rows > 1"), "best")
         kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("sid") == F.col("best.sid"))
-        gone = ws.keep(linked.where("n > 0").join(best, "component").where(~kept).select(F.col("doc_id").alias("__of"), F.col("sid").alias(key)).distinct(), "gone")
-        copies = ws.keep(linked.where("n > 0").groupBy(F.col("doc_id").alias("__of"), F.col("sid").alias(key)).agg(F.count("*").alias("__n")).where("__n > 1").select("__of", key), "copies")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__of"))
-    suspects = gone.select("__of").unionAll(copies.select("__of")).distinct()
+        gone = ws.keep(linked.where("n > 0").join(best, "component").where(~kept).select(F.col("doc_id").alias(of), F.col("sid").alias(key)).distinct(), "gone")
+        copies = ws.keep(linked.where("n > 0").groupBy(F.col("doc_id").alias(of), F.col("sid").alias(key)).agg(F.count("*").alias("copies")).where("copies > 1").select(of, key), "copies")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(of))
+    suspects = gone.select(of).unionAll(copies.select(of)).distinct()
     # only rows whose id is among those are read again for their sets
     untouched = docs.join(suspects, same, "left_anti")
     again = with_sets(docs.join(suspects, same, "left_semi"), width, key)
@@ -332,4 +333,4 @@ def with_sets(docs: DataFrame, width: int, name: str) -> DataFrame:
                 out += [_identity(s) if len(s) else None for s in shingle_sets(text.slice(a, b - a), width)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], [*batch.schema.names, name])
 
-    return docs.mapInArrow(scan, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", {name} long")
+    return docs.mapInArrow(scan, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", `{name}` long")
