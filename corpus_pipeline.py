@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm import decontaminate, line_dedup, ngram_join, packing, quality
+from voxloom.llm.names import free_name
 from voxloom.llm.workspace import Workspace
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier rejects (score below quality.THRESHOLD) go."""
     model = quality.fit(quality.training_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    score = "__quality"
+    score = free_name("quality_score", docs.columns)
     scored = quality.score_documents(docs, model, name=score)
     return scored.where(F.col(score) >= quality.THRESHOLD).drop(score)
 
