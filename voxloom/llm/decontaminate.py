@@ -51,6 +51,10 @@ def _whole_masks(n: int) -> list[str]:
     return ["".join("0" if k % groups in gone else "1" for k in range(n)) for gone in combinations(range(groups), n - least)]
 
 
+# hits of seeds that are written out at once
+EXPANDED = 1 << 20
+
+
 class _Bench:
     """A block of items with its seed hashes, sorted, behind a bitmap filter."""
 
@@ -80,7 +84,10 @@ class _Bench:
 
     def matches(self, hashed: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int, int]]:
         """(document, item, document start, item start, overlap, matched, item length) for every verified pair."""
-        found: set[tuple[int, int, int]] = set()
+        # a diagonal is a document, an item and the shift between them, packed into one number
+        items, longest = max(1, len(self.tokens)), max((len(t) for t in self.tokens), default=0)
+        span = longest + int(np.diff(first).max(initial=0)) + 1
+        found = np.zeros(0, np.int64)
         for mask, salt, keys, item, place, bitmap in self.seeds:
             seeds = _seed(hashed, mask, salt)
             at = np.flatnonzero(bitmap[seeds >> np.uint64(42)])
@@ -89,11 +96,20 @@ class _Bench:
             at, lo, hi = at[real], lo[real], hi[real]
             doc = np.searchsorted(first, at, "right") - 1
             whole = at + len(mask) <= first[doc + 1]
-            for p, d, a, b in zip(at[whole].tolist(), doc[whole].tolist(), lo[whole].tolist(), hi[whole].tolist(), strict=True):
-                for j in range(a, b):
-                    found.add((d, int(item[j]), p - int(first[d]) - int(place[j])))
+            at, doc, lo, many = at[whole], doc[whole], lo[whole], (hi - lo)[whole]
+            ends = np.cumsum(many)
+            begin = 0
+            # equal seeds meet many times over on few diagonals, so they are made one as they come
+            while begin < len(at):
+                stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + EXPANDED, "right")))
+                n = many[begin:stop]
+                j = np.repeat(lo[begin:stop], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                shift = np.repeat(at[begin:stop] - first[doc[begin:stop]], n) - place[j]
+                found = np.union1d(found, (np.repeat(doc[begin:stop], n) * items + item[j]) * span + shift + longest)
+                begin = stop
         best: dict[tuple[int, int], tuple] = {}
-        for d, i, shift in sorted(found):
+        for pair, shift in zip((found // span).tolist(), (found % span - longest).tolist(), strict=True):
+            d, i = divmod(pair, items)
             doc, it = hashed[first[d] : first[d + 1]], self.tokens[i]
             a, b = max(0, -shift), min(len(it), len(doc) - shift)
             same = doc[a + shift : b + shift] == it[a:b]
