@@ -91,21 +91,21 @@ def _shingle(at: str) -> str:
     return f"xxhash64(substring(units, 2 * ({at}) + 1, {2 * SHINGLE}))"
 
 
-def hashed_shingles(units: str = "units") -> Column:
-    """Hashes of all shingles, repeats included. Cut out by one expression: a step inside the lambda costs more than the text's decoding."""
-    text = F.decode(F.col(units), "UTF-16BE")
+def hashed_shingles(line: str = "normal") -> Column:
+    """Hashes of all shingles, repeats included. Cut out by one expression, as a step inside the lambda costs more."""
+    text = F.col(line)
     cut = F.when(F.length(text) < SHINGLE, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(r"(?s)(?=(.{%d}))." % SHINGLE), F.lit(1)))
     return F.transform(cut, lambda s: F.xxhash64(s))
 
 
 def signed_lines(occurrences: DataFrame) -> DataFrame:
-    """(line, units, bands): a row for each different line, its text in two-byte units and the hash of each band.
+    """(line, normal, bands): a row for each different line, its text and the hash of each band.
 
     Repeats go before and after the exchange by line, and minima are grouped where it left the
     texts, so a frequent line fills no task and shingles are never shuffled.
     """
-    texts = occurrences.select("line", "normal").dropDuplicates(["line"]).select("line", F.expr("encode(normal, 'UTF-16BE')").alias("units"))
-    places = texts.select("line", "units", F.expr(f"explode(sequence(0, {_LAST}, {STRIDE}))").alias("i"))
+    texts = occurrences.select("line", "normal").dropDuplicates(["line"])
+    places = texts.select("line", F.expr("encode(normal, 'UTF-16BE')").alias("units")).select("line", "units", F.expr(f"explode(sequence(0, {_LAST}, {STRIDE}))").alias("i"))
     hashed = places.select("line", *[F.expr(_shingle(f"least(i + {c}, {_LAST})")).alias(f"s{c}") for c in range(STRIDE)])
     # every group of minima has a hash of its own: minima of one hash under many masks fall on the same few shingles
     hashed = hashed.select("line", *[(F.col(f"s{c}") if h == 0 else F.xxhash64(f"s{c}", F.lit(h))).alias(f"h{c}_{h}") for c in range(STRIDE) for h in range(HASHES)])
@@ -130,8 +130,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     Set sizes come with the texts: they rule pairs out before a set is made, and the union follows from the intersection.
     """
-    left = texts.select(F.col("line").alias("a"), F.col("units").alias("x"), F.col("n").alias("nx"))
-    right = texts.select(F.col("line").alias("b"), F.col("units").alias("y"), F.col("n").alias("ny"))
+    left = texts.select(F.col("line").alias("a"), F.col("normal").alias("x"), F.col("n").alias("nx"))
+    right = texts.select(F.col("line").alias("b"), F.col("normal").alias("y"), F.col("n").alias("ny"))
     near = F.lit(100) * F.least("nx", "ny") >= F.lit(PERCENT) * F.greatest("nx", "ny")
     common = F.size(F.array_intersect(hashed_shingles("x"), hashed_shingles("y")))
     alike = F.lit(100 + PERCENT) * common >= F.lit(PERCENT) * (F.col("nx") + F.col("ny"))
@@ -217,11 +217,11 @@ def line_components(ws: Workspace, occurrences: DataFrame) -> DataFrame:
     """(node, component) of the lines that have a link."""
     signed = ws.table(signed_lines(occurrences), "signed")
     shared = _shared(ws, signed)
-    texts = signed.select("line", "units").join(shared.select("line").distinct(), "line", "left_semi")
-    texts = ws.table(texts.select("line", "units"), "texts-units")
+    texts = signed.select("line", "normal").join(shared.select("line").distinct(), "line", "left_semi")
+    texts = ws.table(texts.select("line", "normal"), "texts-lines")
     ws.drop("signed")
-    texts = ws.table(texts.select("line", "units", F.size(F.array_distinct(hashed_shingles())).alias("n")), "texts")
-    ws.drop("texts-units")
+    texts = ws.table(texts.select("line", "normal", F.size(F.array_distinct(hashed_shingles())).alias("n")), "texts")
+    ws.drop("texts-lines")
     links, tried = None, None
     now = shared.select("band", "line", F.col("line").alias("component"))
     for k in range(ROUNDS):
