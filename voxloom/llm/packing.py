@@ -4,19 +4,22 @@ A global histogram of lengths (words plus one end token) is counted on Spark; dy
 over it picks the bucket boundaries with the least padding when every document is padded to its
 bucket's boundary. Inside a bucket, documents are ranked and cut into batches of at most
 `budget` padded tokens. Ranks come from bounded groups plus their offsets, so no bucket, however
-large, meets in one task.
+large, meets in one task; rows equal in id and text are one counted row until their ranks are known.
 
-The program is exact for up to MAX_LENGTHS distinct lengths; beyond, lengths are first rounded up
-to a multiple that leaves no more (a histogram as long as that still fits the driver).
+The program is exact whatever the lengths. The driver holds the histogram alone: d distinct lengths need
+d (d + 1) / 2 tokens in all, so a corpus of t tokens has at most sqrt(2 t) of them, 6.4 million for 20 trillion
+tokens, in arrays of some 60 bytes and BUCKETS choices of 4 bytes each.
 
 Edge cases: null and empty texts have the end token only (length 1); a document longer than the
 budget has a batch to itself; repeated rows are packed each; the order inside a
-bucket is a fixed shuffle;
-an empty table gives an empty result; further columns are kept by pack() and may have any name but those it adds.
+bucket is a shuffle by the hash of id and text, the same however the table is partitioned;
+an empty table gives an empty result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +29,8 @@ from voxloom.llm.workspace import Workspace
 BUDGET = 65_536
 BUCKETS = 16
 GROUP_ROWS = 20_000
-MAX_LENGTHS = 1 << 18
+# copies of one row dealt out together
+COPIES = 10_000
 
 
 def token_count(text: str = "text"):
@@ -44,13 +48,12 @@ def optimal_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) ->
     n = len(lengths)
     if not n:
         return []
-    length = [0, *map(int, lengths)]
-    number = [0, *np.cumsum(counts).tolist()]
-    tokens = [0, *np.cumsum(np.asarray(lengths, object) * np.asarray(counts, object)).tolist()]
+    # 8 bytes each; read as integers of any size, so that products are exact
+    length, number, tokens = (array("q", np.concatenate([[0], x]).astype(np.int64).tobytes()) for x in (lengths, np.cumsum(counts), np.cumsum(np.multiply(lengths, counts, dtype=np.int64))))
     infinite = float("inf")
     cost, choices = [0] + [infinite] * n, []
     for _ in range(min(buckets, n)):
-        new, chosen, hull, head = [infinite] * (n + 1), [0] * (n + 1), [], 0
+        new, chosen, hull, head = [infinite] * (n + 1), array("i", bytes(4 * (n + 1))), [], 0
         new[0] = 0
         for j in range(1, n + 1):
             i = j - 1
@@ -83,14 +86,11 @@ def optimal_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) ->
 
 
 def histogram(lengths: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n_tokens and their counts, rounded up to a grid only if there are more than MAX_LENGTHS."""
-    counted = lengths.groupBy("n_tokens").agg(F.count("*").alias("n"))
-    most = lengths.agg(F.max("n_tokens")).first()[0] or 1
-    if most > MAX_LENGTHS and counted.count() > MAX_LENGTHS:
-        unit = -(-most // MAX_LENGTHS)
-        counted = lengths.groupBy((F.ceil(F.col("n_tokens") / unit) * unit).alias("n_tokens")).agg(F.count("*").alias("n"))
-    rows = sorted((r["n_tokens"], r["n"]) for r in counted.collect())
-    return np.array([a for a, _ in rows], np.int64), np.array([b for _, b in rows], np.int64)
+    """Distinct n_tokens, sorted, and how many documents have each."""
+    counted = lengths.groupBy("n_tokens").agg(F.sum("copies").alias("n")).toArrow()
+    values, counts = (counted.column(c).to_numpy() for c in ("n_tokens", "n"))
+    order = np.argsort(values)
+    return values[order].astype(np.int64), counts[order].astype(np.int64)
 
 
 def assign_batches(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
@@ -99,7 +99,9 @@ def assign_batches(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET
     bucket: padded length; batch_id: `<bucket>-<number>`; slot: place within the batch, from 0.
     """
     with Workspace(docs.sparkSession, "packing") as ws:
-        lengths = ws.table(docs.select("doc_id", token_count().alias("n_tokens"), F.xxhash64(F.monotonically_increasing_id()).alias("shuffled")), "lengths")
+        shuffled = F.xxhash64("doc_id", F.xxhash64(F.col("text").cast("string")), F.lit(9))
+        lengths = docs.select("doc_id", token_count().alias("n_tokens"), shuffled.alias("shuffled"))
+        lengths = ws.table(lengths.groupBy("doc_id", "n_tokens", "shuffled").agg(F.count("*").alias("copies")), "lengths")
         values, counts = histogram(lengths)
         ends = optimal_boundaries(values, counts, buckets)
         held = {e: int(counts[(values <= e) & (values > b)].sum()) for b, e in zip([0, *ends], ends, strict=False)}
@@ -109,17 +111,22 @@ def assign_batches(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET
             bucket = F.when(inside, F.lit(e).cast("long")).otherwise(bucket)
             groups = F.when(inside, F.lit(max(1, -(-held[e] // GROUP_ROWS)))).otherwise(groups)
             room = F.when(inside, F.lit(max(1, budget // e))).otherwise(room)
-        placed = lengths.select("doc_id", "n_tokens", bucket.alias("bucket"), room.cast("long").alias("room"), F.pmod(F.col("shuffled"), groups.cast("long")).alias("grp"), "shuffled")
-        ranked = placed.withColumn("place", F.row_number().over(Window.partitionBy("bucket", "grp").orderBy("shuffled", "doc_id", "n_tokens")) - 1)
-        sizes = placed.groupBy("bucket", "grp").agg(F.count("*").alias("n"))
+        placed = lengths.select("doc_id", "n_tokens", "copies", bucket.alias("bucket"), room.cast("long").alias("room"), F.pmod(F.col("shuffled"), groups.cast("long")).alias("grp"), "shuffled")
+        before = Window.partitionBy("bucket", "grp").orderBy("shuffled", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = placed.withColumn("place", F.coalesce(F.sum("copies").over(before), F.lit(0)))
+        sizes = placed.groupBy("bucket", "grp").agg(F.sum("copies").alias("n"))
         offsets = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("bucket").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-        rank = F.col("before") + F.col("place")
+        first = ranked.join(offsets, ["bucket", "grp"]).select("doc_id", "n_tokens", "bucket", "room", "shuffled", "copies", (F.col("before") + F.col("place")).alias("first"))
+        # copies become rows again: pieces of COPIES of them are dealt over the tasks before they do
+        pieces = first.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES))).alias("piece")).repartition("shuffled", "piece")
+        copy = F.explode(F.sequence(F.col("piece") * COPIES, F.least(F.col("copies"), (F.col("piece") + 1) * COPIES) - 1))
+        rows = pieces.select("doc_id", "n_tokens", "bucket", "room", "first", copy.alias("copy")).withColumn("rank", F.col("first") + F.col("copy"))
         return ws.keep(
-            ranked.join(offsets, ["bucket", "grp"]).select(
+            rows.select(
                 "doc_id",
                 "n_tokens",
                 "bucket",
-                F.concat_ws("-", F.col("bucket").cast("string"), F.floor(rank / F.col("room")).cast("string")).alias("batch_id"),
-                F.pmod(rank, F.col("room")).cast("int").alias("slot"),
+                F.concat_ws("-", F.col("bucket").cast("string"), F.floor(F.col("rank") / F.col("room")).cast("string")).alias("batch_id"),
+                F.pmod(F.col("rank"), F.col("room")).cast("int").alias("slot"),
             )
         )
