@@ -174,7 +174,10 @@ def _units(docs: DataFrame, model: LicenseModel) -> tuple[DataFrame, DataFrame]:
     blocks = docs.where(speaks("text")).select("row", F.posexplode(F.split("text", BLANK, -1)).alias("block", "part")).where(speaks("part"))
     lines = blocks.select("row", "block", F.posexplode(F.split("part", "\n", -1)).alias("unit", "line")).where(speaks("line"))
     named = F.flatten(F.transform(F.regexp_extract_all(F.lower("line"), F.lit(r"spdx-license-identifier:([^\n]*)"), F.lit(1)), lambda e: F.split(e, r"[^a-z0-9.+-]+")))
-    ids = lines.where(F.lower("line").contains("spdx-license-identifier:")).select("row", "block", "unit", F.explode(named).alias("id"))
+    # the plain search comes before all patterns, so texts without the mark are read at the cost of that
+    marked = lambda c: F.lower(c).contains("spdx-license-identifier:")
+    marks = docs.where(marked("text")).select("row", F.posexplode(F.split("text", BLANK, -1)).alias("block", "part")).where(marked("part"))
+    ids = marks.select("row", "block", F.posexplode(F.split("part", "\n", -1)).alias("unit", "line")).where(marked("line")).select("row", "block", "unit", F.explode(named).alias("id"))
     family = F.coalesce(*[F.when(F.col("id").rlike(f"^(?:{p})(?:-only|-or-later|\\+)?$"), f) for f, p in SPDX.items()])
     ids = ids.select("row", "block", "unit", family.alias("family")).where("family is not null")
     single = lines.select("row", "block", "unit", F.col("line").rlike(CUES).alias("cue"), _words(F.col("line")).alias("words")).where(F.size("words") > 0)
