@@ -52,6 +52,57 @@ def test_evict_overlaps(spark, mode):
         dedup.evict_overlaps(df, "other")
 
 
+def brute_by_character(rows):
+    """One list of kept segments over all speakers, searched whole at every step: rows (start, end, confidence, text, ordinal, speaker, character, there)."""
+    processed, seen, out = [], set(), []
+    for r in sorted(rows, key=lambda r: (r[0], r[4])):
+        text = r[3].strip().lower()
+        if not r[5] or not text or (r[5], text) in seen:
+            continue
+        own, lost = r[1] - r[0], False
+        for o in processed:
+            if o[6] == r[6] and o[0] < r[1] and o[1] > r[0]:
+                common, old = min(r[1], o[1]) - max(r[0], o[0]), o[1] - o[0]
+                if (own > 0 and common / own > 0.5) or (old > 0 and common / old > 0.5):
+                    lost = own < old or r[2] < o[2]
+                    if not lost:
+                        processed.remove(o)
+                        seen.discard((o[6], o[3].strip().lower()))
+                    break
+        if lost or not r[7]:
+            continue
+        processed.append(r)
+        seen.add((r[5], text))
+        out.append(r[4])
+    return sorted(out)
+
+
+def test_evict_overlaps_of_characters_within_recordings(spark):
+    draw = random.Random(9)
+    cast = {"anna": "anna", "s1": "anna", "s2": "ben", "": "anna"}
+    rows = []
+    for i in range(400):
+        t, speaker = draw.uniform(0, 700), draw.choice(list(cast))
+        text = draw.choice(["Yes", "no ", "\u00a0", "K", "\u212a", "\u0130", "i\u0307", "\u0434\u0430", f"line {i}", f"line {i}", f"line {i}"])
+        rows.append((t, t + draw.choice([0.0, 0.5, 1.5, 4.0]), draw.choice([0.2, 0.9]), text, i, speaker, cast[speaker], draw.random() > 0.2))
+    df = spark.createDataFrame([("e", *r) for r in rows], "episode string, start double, end double, confidence double, text string, ordinal long, speaker string, character string, there boolean")
+    got = dedup.evict_overlaps(df, "reference", "character", "there")
+    assert got.columns == ["episode", "speaker", "character", "ordinal", "start", "end", "text", "confidence"]
+    want = brute_by_character(rows)
+    assert sorted(r["ordinal"] for r in got.collect()) == want
+    # part of the rows is settled without a Python step, and part is not
+    settled = dedup._contested(df.where("speaker <> ''"), "character").where("not __contested").count()
+    assert 20 < settled < len(want)
+    assert "FlatMapGroupsInPandas" in got._jdf.queryExecution().toString()
+
+
+def test_evict_overlaps_of_no_rows_and_nulls(spark):
+    schema = "episode string, speaker string, ordinal long, start double, end double, text string, confidence double"
+    assert dedup.evict_overlaps(spark.createDataFrame([], schema)).count() == 0
+    rows = [("e", "a", 1, None, None, "one", None), ("e", "a", 2, 5.0, 6.0, "one", None), ("e", None, 3, 0.0, 1.0, "x", 1.0), (None, "a", 4, 0.0, 1.0, "two", None), (None, "a", 5, 0.1, 1.0, "three", None), ("e", "a", 6, 9.0, 9.5, None, 1.0)]
+    assert sorted(r["ordinal"] for r in dedup.evict_overlaps(spark.createDataFrame(rows, schema)).collect()) == [1, 4]
+
+
 def test_assign_labels_passes(spark):
     stats = [("c1", 900.0, 5, 90, 100, 0.0), ("c2", 800.0, 5, 90, 100, 0.0), ("c3", 700.0, 5, 90, 100, 0.0), ("c4", 600.0, 5, 90, 100, 0.0), ("c5", 50.0, 5, 90, 100, 0.0), ("c6", 40.0, 5, 1, 100, 0.9), ("c7", 30.0, 5, 1, 100, 0.9), ("c8", 20.0, 5, 1, 100, 0.1)]
     scores = [("c1", "anna", 0.2), ("c1", "ben", 0.01), ("c2", "anna", 0.3), ("c3", "ben", 0.2), ("c3", "cara", 0.04), ("c4", "cara", 0.05), ("c4", "dan", 0.045)]
