@@ -74,11 +74,12 @@ class _Best:
         self.read = 0
 
     def scan(self, ids: np.ndarray, cells: np.ndarray, vecs: np.ndarray, lo: np.ndarray, step: np.ndarray) -> None:
-        # every component lies in [low, low + step]; a step of slack takes up the rounding of cell borders
-        low = lo + (cells.astype(float) - 0.001) * step
-        high = low + 1.002 * step
-        up, down = np.maximum(self.exact, 0), np.minimum(self.exact, 0)
-        top = up @ high.T + down @ low.T
+        # a component of cell c lies in lo + [c, c + 1] * step, with a thousandth for the rounding of cell borders:
+        # one product for all cells, and a width and a margin for sums in floating point that are the query's alone
+        scaled = self.exact * step
+        width = 1.001 * np.maximum(scaled, 0).sum(1) - 0.001 * np.minimum(scaled, 0).sum(1)
+        margin = 1e-12 * (np.abs(self.exact) @ np.abs(lo) + 2 * LEVELS * np.abs(scaled).sum(1))
+        top = scaled @ cells.astype(float).T + (self.exact @ lo + width + margin)[:, None]
         for q in range(len(self.ids)):
             order = np.flatnonzero(top[q] >= self.scores[q, -1])
             order = order[np.argsort(-top[q, order], kind="stable")]
