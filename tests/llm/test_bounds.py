@@ -25,7 +25,7 @@ def test_search_is_exact_and_reads_few():
         vecs[100:160] = vecs[7]
         queries = vecs[::200].copy()
         best = scanned(vecs, queries)
-        exact = vecs.astype(object) @ queries.T.astype(object)
+        exact = vecs.astype(np.int64).astype(object) @ queries.T.astype(np.int64).astype(object)
         for q in range(len(queries)):
             order = sorted(range(len(vecs)), key=lambda i: (-exact[i, q], i))[:10]
             assert best.found[q].tolist() == order and best.scores[q].tolist() == [exact[i, q] for i in order]
