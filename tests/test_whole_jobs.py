@@ -1,6 +1,10 @@
 """What queries and steps must keep doing in whole, and with data that doesn't grow faster than their input."""
 
+import numpy as np
+
+from voxloom.operators import blocks, cluster, ward
 from voxloom.plans import registry
+from voxloom.scratch import children, shared_folder
 
 DATA = "/root/testdata/sf0.001"
 
@@ -8,3 +12,57 @@ DATA = "/root/testdata/sf0.001"
 def test_name_parts_has_the_archive_name(spark):
     rows = registry.queries()["name_parts"](spark, DATA).select("vec_id", "archive").collect()
     assert rows and all(r["archive"] == f"A_b-{r['vec_id']}" for r in rows)
+
+
+def test_vectors_travel_to_few_groups(spark):
+    # before: one for every 1,024 or 2,048 vectors, 601 for this table
+    assert [blocks.block_count(n, 64) for n in (1, 500, 10_256, 102_564, 615_384)] == [1, 1, 8, 8, 10]
+    assert blocks.block_count(0, 1) == 1 and blocks.block_count(70, 5, 9) == 8
+    # longer vectors, smaller blocks
+    assert blocks.block_count(615_384, 1024) == 151
+    rows = spark.range(20_000).selectExpr("id", "array(1D) AS v")
+    assert blocks.block_pairs(rows, blocks.block_count(20_000, 1)).count() == 8 * 20_000
+
+
+def _clustered(n):
+    rng = np.random.default_rng(5)
+    m = rng.normal(size=(n, 6)) * 0.35 + 4 * rng.normal(size=(12, 6))[rng.integers(0, 12, n)]
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+def _density(m, eps, least):
+    close = 1 - m @ m.T <= eps
+    core = close.sum(axis=1) >= least
+    label = np.where(core, np.arange(len(m)), len(m))
+    while True:
+        new = np.where(core, np.where(close & core[None, :], label[None, :], len(m)).min(axis=1), len(m))
+        if (new == label).all():
+            break
+        label = new
+    number = {x: k for k, x in enumerate(sorted(set(label[core])))} | {len(m): -1}
+    outer = np.where(close & core[None, :], label[None, :], len(m)).min(axis=1)
+    return [number[x] for x in np.where(core, label, outer)], close
+
+
+def test_density_and_pairs_over_blocks_and_tiles(spark):
+    m = _clustered(8_500)
+    assert blocks.block_count(len(m), 6) == 8 and len(m) / 8 > blocks.TILE
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)] + [(len(m), None)], "vec_id long, embedding array<double>")
+    want, close = _density(m, 0.002, 9)
+    got = dict(cluster.dbscan(table, 0.002, 9).collect())
+    assert [got[i] for i in range(len(m))] == want and got[len(m)] == -1
+    assert len(set(want)) > 3 and -1 in want
+    pairs = cluster.neighbours(table, 0.0005).toPandas()
+    assert set(zip(pairs["a"], pairs["b"], strict=True)) == set(zip(*np.nonzero(1 - m @ m.T <= 0.0005), strict=True)) and not pairs.duplicated().any()
+
+
+def test_copies_merge_at_once(spark):
+    rows = [(i, [float(i % 3), 1.0]) for i in range(120)]
+    folder = shared_folder(spark, "ward")
+    merges = ward.ward_merges(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), folder, last=0)
+    # before: a round for each copy
+    assert merges.count() == 119 and len([x for x in children(spark, folder) if x.startswith("merges")]) <= 3
+    got = {}
+    for r in ward.cut(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), merges, 3, f"{folder}/cut").collect():
+        got.setdefault(r["cluster_id"], set()).add(r["vec_id"] % 3)
+    assert got == {0: {0}, 1: {1}, 2: {2}}
