@@ -1,8 +1,10 @@
 """What queries and steps must keep doing in whole, and with data that doesn't grow faster than their input."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from voxloom.operators import blocks, cluster, ward
+from voxloom.functions import spectral
+from voxloom.operators import blocks, cluster, intervals, settings, ward
 from voxloom.plans import registry
 from voxloom.scratch import children, shared_folder
 
@@ -66,3 +68,47 @@ def test_copies_merge_at_once(spark):
     for r in ward.cut(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), merges, 3, f"{folder}/cut").collect():
         got.setdefault(r["cluster_id"], set()).add(r["vec_id"] % 3)
     assert got == {0: {0}, 1: {1}, 2: {2}}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_few_profiles_are_not_shuffled(spark):
+    layers = settings.resolved(spark.createDataFrame([("a", 0, "quality_thresholds.min_duration", "4")], settings.LAYERS), settings.ACCEPT)
+    rows = spark.range(30).withColumn("profile", F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b"))
+    joined = settings.with_settings(rows, layers, settings.ACCEPT)
+    assert "BroadcastHashJoin [profile" in _plan(joined)
+    assert {(r["id"] % 3, r["quality_thresholds__min_duration"]) for r in joined.collect()} == {(0, 4.0), (1, 2.0), (2, 2.0)}
+
+
+def test_measures_share_a_python_worker(spark):
+    x = spark.createDataFrame([(1, [0.1] * 64), (2, None), (3, [])], "k int, samples array<double>")
+    s, rate = F.col("samples"), F.lit(160)
+    m = x.select("k", spectral.has_fry(s, rate).alias("f"), spectral.less_fry(s, rate).alias("l"), spectral.more_speech(s, rate).alias("m"), spectral.trim_silence(s, rate).alias("t"))
+    # before: four, one inside the other
+    assert _plan(m).count("ArrowEvalPython") == 1
+    assert {r["k"]: len(r["l"]) for r in m.collect()} == {1: 64, 2: 0, 3: 0}
+    # before: a view into the sum of all frames
+    short = spectral.scaled_band(np.ones(64), 160, 0, 10, 0.5)
+    assert len(short) == 64 and short.base is None
+
+
+def test_alignment_in_groups_is_that_of_all_pairs(spark):
+    rng = np.random.default_rng(7)
+
+    def some(n, at):
+        # many at a time, spans that repeat, empty and backward ones, over several bins
+        start = rng.integers(0, 900, n) / 2.0
+        return [(f"e{i % 2}", at + i, float(s), float(s + d), f"s{i % 5}") for i, (s, d) in enumerate(zip(start, rng.integers(-2, 60, n), strict=True))]
+
+    schema = "episode string, ordinal long, start double, end double, speaker string"
+    texts, turns = some(1500, 0), some(2600, 5000)
+    got = intervals.align_speakers(spark.createDataFrame(texts, schema), spark.createDataFrame(turns, schema), 100.0)
+    # before: a join of texts with turns, a row a pair
+    assert "FlatMapCoGroupsInArrow" in _plan(got)
+    want = {}
+    for e, o, s, t, _ in texts:
+        met = [(min(t, b) - max(s, a), -k, w) for f, k, a, b, w in turns if f == e and a < t and b > s]
+        want[o] = (max(met)[2], max(met)[0]) if met else (None, 0.0)
+    assert {r["ordinal"]: (r["aligned_speaker"], r["overlap"]) for r in got.collect()} == want
