@@ -16,6 +16,8 @@ from voxloom.operators.attempts import attempt_each
 
 KINDS = {"double": "double", "long": "bigint", "boolean": "boolean", "string": "string"}
 LAYERS = "profile string, layer int, name string, value string"
+# profiles that are broadcast, some 100 bytes each
+FEW = 100_000
 # error codes
 UNKNOWN, KIND, RANGE = "unknown_name", "wrong_kind", "out_of_range"
 
@@ -104,9 +106,12 @@ def resolved(layers: DataFrame, settings: list[Setting]) -> DataFrame:
 def with_settings(rows: DataFrame, settings_of: DataFrame, settings: list[Setting], profile: str = "profile") -> DataFrame:
     """rows with the settings of their profile; a profile without a row has the defaults.
 
-    The settings table has a row a profile; its size decides whether it is broadcast.
+    The settings table has a row a profile. One of up to FEW is broadcast: few profiles mean many rows each, which would meet in
+    one task. Spark can't see that size before, as the table comes out of joins.
     """
     named = settings_of.withColumnRenamed("profile", "__profile")
+    if settings_of.limit(FEW + 1).count() <= FEW:
+        named = F.broadcast(named)
     joined = rows.join(named, F.col(profile) == F.col("__profile"), "left").drop("__profile")
     return joined.withColumns({s.column: F.coalesce(s.column, F.lit(s.default).cast(KINDS[s.kind])) for s in settings})
 
