@@ -378,3 +378,21 @@ def test_pipeline(spark):
         counts.append(df.count())
     assert counts == sorted(counts, reverse=True) and counts[-1] > 0
     assert corpus_pipeline.run(spark, DATA).count() == counts[-1]
+
+
+@pytest.mark.parametrize("few", [1, 64])
+def test_line_dedup_settles_small_buckets_at_once(spark, monkeypatch, few):
+    """Small buckets need no finish and few tables; either way gives the components of all pairs."""
+    rng, lines = random.Random(31), []
+    for _ in range(25):
+        passage = sentence(rng, 22)
+        lines += [f"{passage} {sentence(rng, 4)}{end}" for _ in range(3) for end in (".", "!", " ?")]
+    rng.shuffle(lines)
+    want, _ = brute_line_components(lines)
+    written, before = [], line_dedup.Workspace._written
+    monkeypatch.setattr(line_dedup, "FEW", few)
+    monkeypatch.setattr(line_dedup.Workspace, "_written", lambda self, df, path: written.append(path.rsplit("/", 1)[1]) or before(self, df, path))
+    rows = line_dedup.line_report(docs(spark, ["\n".join(lines)])).collect()
+    assert list(rows[0]["dropped"]) == [i for i in range(len(lines)) if want[i] != i]
+    assert ("pairs-left" in written) == (few == 1)
+    assert few == 1 or len([n for n in written if not n.startswith("cc-")]) <= 13

@@ -9,10 +9,10 @@ on a whole band are candidates, at a similarity of 0.8 with a chance of 0.97, of
 candidate is verified by the exact Jaccard similarity of all shingles (as 64-bit hashes) of both lines,
 links become components, and of a component the first line by (doc_id, text hash, line number) stays.
 
-Every bucket has a leader, its least line, which all lines of other components meet; then the leader
-leaves the bucket, and a bucket whose lines are all of one component is done. After ROUNDS rounds the
-lines of buckets still open are finished exactly: of all their pairs across components those are verified that set
-sizes and prefixes (rarest shingles first) allow to be similar enough, so no bucket keeps an unverified pair.
+Every bucket has a leader, its least line, which all its other lines meet; then the leader leaves the bucket, and a
+bucket whose lines are all of one component is done. Of those still open, buckets of at most FEW lines meet pair by
+pair across components, and the lines of larger ones are finished exactly: of all their pairs across components those are verified
+that set sizes and prefixes (rarest shingles first) allow to be similar enough, so no bucket keeps an unverified pair.
 A frequent shingle's lines are met in blocks of BLOCK, spread over the tasks.
 
 Edge cases: a null text has no lines; blank lines always stay and are no duplicates; a line shorter
@@ -27,7 +27,7 @@ from __future__ import annotations
 import random
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.llm.components import connected_components
@@ -39,7 +39,8 @@ MINIMA = 24
 HASHES = 3
 BANDS = 14
 ROWS = 5
-ROUNDS = 3
+# lines of a bucket that meet pair by pair
+FEW = 64
 PERCENT = 80
 SKETCH = 1 << 17
 BLOCK = 512
@@ -116,13 +117,11 @@ def signed_lines(occurrences: DataFrame) -> DataFrame:
 
 
 def _shared(ws: Workspace, signed: DataFrame) -> DataFrame:
-    """(band, line) of the buckets that hold several lines."""
+    """(band, line, leader) of the buckets that hold several lines. Bands are shuffled once, as two numbers."""
+    bucket = Window.partitionBy("band")
     bands = signed.select("line", F.explode("bands").alias("band"))
-    several = bands.groupBy("band").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high").select("band")
-    # a table of its own: the join then meets two plain exchanges, of which a skewed one is split at run time
-    shared = ws.table(bands.join(ws.table(several, "several"), "band"), "shared")
-    ws.drop("several")
-    return shared
+    met = bands.select("band", "line", F.min("line").over(bucket).alias("leader"), F.max("line").over(bucket).alias("last"))
+    return ws.table(met.where("leader <> last").drop("last"), "shared")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -134,8 +133,12 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     right = texts.select(F.col("line").alias("b"), F.col("normal").alias("y"), F.col("n").alias("ny"))
     near = F.lit(100) * F.least("nx", "ny") >= F.lit(PERCENT) * F.greatest("nx", "ny")
     common = F.size(F.array_intersect(hashed_shingles("x"), hashed_shingles("y")))
-    alike = F.lit(100 + PERCENT) * common >= F.lit(PERCENT) * (F.col("nx") + F.col("ny"))
-    return pairs.join(left, "a").join(right, "b").where(near & alike).select("a", "b").distinct()
+    return pairs.join(left, "a").join(right, "b").where(near & _enough(common, F.col("nx") + F.col("ny"))).select("a", "b").distinct()
+
+
+def _enough(most: Column, of: Column) -> Column:
+    """Whether sets of that many elements together can be similar enough if they share that many at most."""
+    return F.lit(100 + PERCENT) * most >= F.lit(PERCENT) * of
 
 
 def _most_common(x: list[Column], y: list[Column], nx: Column, ny: Column) -> Column:
@@ -179,14 +182,13 @@ def _left_over(ws: Workspace, lines: DataFrame, texts: DataFrame) -> DataFrame:
     # at their first common element no more than the rest of either set can be common
     rest = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     both = F.col("x.n") + F.col("y.n")
-    enough = lambda most, of: F.lit(100 + PERCENT) * most >= F.lit(PERCENT) * of
     narrow = _most_common([F.col(f"x.f{f}") for f in range(NARROW)], [F.col(f"y.f{f}") for f in range(NARROW)], F.col("x.n"), F.col("y.n"))
-    pairs = x.join(y, met & (F.col("x.component") != F.col("y.component")) & once & enough(rest, both) & enough(narrow, both))
+    pairs = x.join(y, met & (F.col("x.component") != F.col("y.component")) & once & _enough(rest, both) & _enough(narrow, both))
     pairs = pairs.select(F.greatest("x.line", "y.line").alias("a"), F.least("x.line", "y.line").alias("b")).distinct()
     one = bits.select(F.col("line").alias("a"), F.col("n").alias("na"), *[F.col(f"w{k}").alias(f"x{k}") for k in range(WORDS)])
     two = bits.select(F.col("line").alias("b"), F.col("n").alias("nb"), *[F.col(f"w{k}").alias(f"y{k}") for k in range(WORDS)])
     wide = _most_common([F.col(f"x{k}") for k in range(WORDS)], [F.col(f"y{k}") for k in range(WORDS)], F.col("na"), F.col("nb"))
-    return pairs.join(one, "a").join(two, "b").where(enough(wide, F.col("na") + F.col("nb"))).select("a", "b")
+    return pairs.join(one, "a").join(two, "b").where(_enough(wide, F.col("na") + F.col("nb"))).select("a", "b")
 
 
 def _labelled(shared: DataFrame, groups: DataFrame) -> DataFrame:
@@ -195,22 +197,25 @@ def _labelled(shared: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _near_labels(links: DataFrame) -> DataFrame:
-    """(node, component): the least line within two links. Lines of one label are connected, which is all that rounds need to skip their pairs."""
+    """(node, component): the least line within two links. Lines of one label are connected, which is all that is needed to skip their pairs."""
     both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("m"))
     further = least.select(F.col("node").alias("m"), F.col("m").alias("further"))
     return least.join(further, "m", "left").select("node", F.least("m", F.coalesce("further", "m")).alias("component"))
 
 
-def _open(ws: Workspace, labelled: DataFrame, name: str, stored: bool = False) -> DataFrame:
-    """The rows (band, line, component) of buckets of several components, with the bucket's leader; stored: labelled reads a table already."""
-    if not stored:
-        labelled = ws.table(labelled, f"{name}-all")
-    heads = labelled.groupBy("band").agg(F.min("line").alias("leader"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band", "leader")
-    rows = ws.table(labelled.join(ws.table(heads, f"{name}-heads"), "band"), name)
-    for done in [f"{name}-heads"] if stored else [f"{name}-heads", f"{name}-all"]:
-        ws.drop(done)
-    return rows
+def _open(ws: Workspace, labelled: DataFrame, name: str) -> DataFrame:
+    """The rows (band, line, component) of buckets of several components, with the bucket's number of lines."""
+    bucket = Window.partitionBy("band")
+    met = labelled.select("band", "line", "component", F.count("*").over(bucket).alias("size"), F.min("component").over(bucket).alias("low"), F.max("component").over(bucket).alias("high"))
+    return ws.table(met.where("low <> high").drop("low", "high"), name)
+
+
+def _of_few(few: DataFrame) -> DataFrame:
+    """(a, b): the pairs within buckets (band, line, component) across components."""
+    x, y = few.alias("x"), few.alias("y")
+    met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.line") > F.col("y.line")) & (F.col("x.component") != F.col("y.component")))
+    return met.select(F.col("x.line").alias("a"), F.col("y.line").alias("b")).distinct()
 
 
 def line_components(ws: Workspace, occurrences: DataFrame) -> DataFrame:
@@ -218,28 +223,21 @@ def line_components(ws: Workspace, occurrences: DataFrame) -> DataFrame:
     signed = ws.table(signed_lines(occurrences), "signed")
     shared = _shared(ws, signed)
     texts = signed.select("line", "normal").join(shared.select("line").distinct(), "line", "left_semi")
-    texts = ws.table(texts.select("line", "normal"), "texts-lines")
-    ws.drop("signed")
     texts = ws.table(texts.select("line", "normal", F.size(F.array_distinct(hashed_shingles())).alias("n")), "texts")
-    ws.drop("texts-lines")
-    links, tried = None, None
-    now = shared.select("band", "line", F.col("line").alias("component"))
-    for k in range(ROUNDS):
-        now = _open(ws, now, f"open-{k}", stored=k == 0)
-        ws.drop(f"open-{k - 1}" if k else "shared")
-        of_leader = now.where("line = leader").select("band", F.col("component").alias("of"))
-        pairs = now.join(of_leader, "band").where("component <> of").select(F.greatest("line", "leader").alias("a"), F.least("line", "leader").alias("b")).distinct()
-        pairs = ws.table(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), f"pairs-{k}")
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        found = ws.table(_verified(pairs, texts), f"found-{k}")
-        links = found if links is None else links.unionAll(found)
+    ws.drop("signed")
+    tried = ws.table(shared.where("line <> leader").select(F.col("line").alias("a"), F.col("leader").alias("b")).distinct(), "tried")
+    links = ws.table(_verified(tried, texts), "found")
+    now = _open(ws, _labelled(shared.where("line <> leader"), _near_labels(links)), "open")
+    ws.drop("shared")
+    few = ws.table(_of_few(now.where(F.col("size") <= FEW)).join(tried, ["a", "b"], "left_anti"), "pairs-few")
+    links = links.unionAll(ws.table(_verified(few, texts), "found-few"))
+    many = now.where(F.col("size") > FEW).select("line").distinct()
+    if many.limit(1).count():
         # the finish meets all pairs across labels, so its labels are the components themselves
-        groups = ws.table(_near_labels(links) if k + 1 < ROUNDS else connected_components(ws, links, "cc-rounds"), f"labels-{k}")
-        now = _labelled(now.where("line <> leader"), groups)
-    left = ws.table(_open(ws, now, "open-left").select("line", "component").distinct(), "left")
-    ws.drop(f"open-{ROUNDS - 1}")
-    rest = ws.table(_left_over(ws, left, texts).join(tried, ["a", "b"], "left_anti"), "pairs-left")
-    links = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(ws.table(_verified(rest, texts), "found-left"))
+        groups = ws.table(connected_components(ws, links, "cc-many"), "labels")
+        left = ws.table(many.join(groups.withColumnRenamed("node", "line"), "line", "left").select("line", F.coalesce("component", "line").alias("component")), "left")
+        rest = ws.table(_left_over(ws, left, texts).join(tried, ["a", "b"], "left_anti"), "pairs-left")
+        links = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(ws.table(_verified(rest, texts), "found-left"))
     return ws.table(connected_components(ws, links, "cc"), "groups")
 
 
