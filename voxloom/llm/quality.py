@@ -99,7 +99,7 @@ def held_out(column: str = "doc_id") -> F.Column:
     return F.crc32(F.encode(F.col(column).cast("string"), "UTF-8")) % 5 == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> list[tuple[bytes, int]]:
+def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> list[tuple[pa.Buffer, int]]:
     """(packed feature ids, label) of at most `most` labelled rows outside the held-out fold."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").where(~held_out())
     chosen = rows.groupBy("doc_id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
@@ -115,10 +115,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) ->
     # at most MAX_TRAIN ids of 12 bytes: a bound known before the broadcast
     found = texts.join(F.broadcast(chosen), "doc_id").select("text", "label", "doc_id")
     got = found.mapInArrow(pack, "features binary, label int, doc_id long").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id")).limit(most)
-    return [(bytes(r["features"]), r["label"]) for r in got.collect()]
+    got = got.select("features", "label").toArrow()
+    return [(f.as_buffer(), label) for f, label in zip(got["features"], got["label"].to_pylist(), strict=True)]
 
 
-def fit(rows: list[tuple[bytes, int]], c: float = 1.0, epochs: int = 12, seed: int = 1) -> QualityModel:
+def fit(rows: list[tuple[bytes | pa.Buffer, int]], c: float = 1.0, epochs: int = 12, seed: int = 1) -> QualityModel:
     features = [np.frombuffer(f, np.int32) for f, _ in rows]
     y = np.array([1.0 if label else -1.0 for _, label in rows])
     size = 1 << BITS
@@ -133,12 +134,18 @@ def fit(rows: list[tuple[bytes, int]], c: float = 1.0, epochs: int = 12, seed: i
         count[s][f] += 1
     ratio = np.log(count[1.0] / count[1.0].sum()) - np.log(count[-1.0] / count[-1.0].sum())
 
+    # one array of all weights, not one for each row and fold: the driver's memory goes back whole
+    ends = np.cumsum([len(f) for f in features])
+    weighted = ratio[np.concatenate(features)]
+    scaled = [weighted[b - len(f) : b] for f, b in zip(features, ends, strict=True)]
+    for v in scaled:
+        v /= np.sqrt(max(1, len(v)))
+
     def descend(own: np.ndarray) -> tuple[np.ndarray, float]:
         """Dual coordinate descent for the hinge loss; classes weigh the same in total."""
         w, bias, alpha = np.zeros(size), 0.0, np.zeros(len(y))
         limit = {s: c * len(own) / (2 * max(1, (y[own] == s).sum())) for s in (1.0, -1.0)}
-        scaled = {i: ratio[features[i]] / np.sqrt(max(1, len(features[i]))) for i in own}
-        norm = {i: float(v @ v) + 1.0 for i, v in scaled.items()}
+        norm = {i: float(scaled[i] @ scaled[i]) + 1.0 for i in own}
         for _ in range(epochs):
             moved = 0.0
             for i in rng.permutation(own):
