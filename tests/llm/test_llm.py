@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -396,3 +397,18 @@ def test_line_dedup_settles_small_buckets_at_once(spark, monkeypatch, few):
     assert list(rows[0]["dropped"]) == [i for i in range(len(lines)) if want[i] != i]
     assert ("pairs-left" in written) == (few == 1)
     assert few == 1 or len([n for n in written if not n.startswith("cc-")]) <= 13
+
+
+def test_quality_training_holds_rows_once():
+    """Rows are read one by one and weighted anew at each step: the driver holds their ids once."""
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << quality.BITS, 5000)).astype(np.int32) for _ in range(800)]
+    size = sum(x.nbytes for x in sets)
+    tracemalloc.start()
+    try:
+        model = quality.fit(((x.tobytes(), k % 2) for k, x in enumerate(sets)), epochs=2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # weights and counts are some arrays of 2 ** BITS doubles
+    assert model.weights.any() and peak < 1.1 * size + 12 * (8 << quality.BITS)

@@ -18,7 +18,7 @@ trains once); if only one class is labelled or none, every score is the share of
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -99,8 +99,8 @@ def held_out(column: str = "doc_id") -> F.Column:
     return F.crc32(F.encode(F.col(column).cast("string"), "UTF-8")) % 5 == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> list[tuple[bytes, int]]:
-    """(packed feature ids, label) of at most `most` labelled rows outside the held-out fold."""
+def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> Iterator[tuple[bytes, int]]:
+    """(packed feature ids, label) of at most `most` labelled rows outside the held-out fold, one after the other."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").where(~held_out())
     chosen = rows.groupBy("doc_id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
@@ -115,12 +115,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) ->
     # at most MAX_TRAIN ids of 12 bytes: a bound known before the broadcast
     found = texts.join(F.broadcast(chosen), "doc_id").select("text", "label", "doc_id")
     got = found.mapInArrow(pack, "features binary, label int, doc_id long").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id")).limit(most)
-    return [(bytes(r["features"]), r["label"]) for r in got.collect()]
-
-
-def fit(rows: list[tuple[bytes, int]], c: float = 1.0, epochs: int = 12, seed: int = 1) -> QualityModel:
-    features = [np.frombuffer(f, np.int32) for f, _ in rows]
-    y = np.array([1.0 if label else -1.0 for _, label in rows])
+    # rows are sorted into one partition and read from it one by one: the driver's Python never holds them as objects
+    return ((r["features"], r["label"]) for r in got.toLocalIterator())
+
+
+def fit(rows: Iterable[tuple[bytes, int]], c: float = 1.0, epochs: int = 12, seed: int = 1) -> QualityModel:
+    packed, ends, y = bytearray(), [], []
+    for f, label in rows:
+        packed += f
+        ends.append(len(packed) // 4)
+        y.append(1.0 if label else -1.0)
+    flat, y = np.frombuffer(packed, np.int32), np.array(y)
+    features = [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
     size = 1 << BITS
     if len(set(y.tolist())) < 2:
         share = 0.5 if not len(y) else float((y > 0).mean())
@@ -133,19 +139,23 @@ def fit(rows: list[tuple[bytes, int]], c: float = 1.0, epochs: int = 12, seed: i
         count[s][f] += 1
     ratio = np.log(count[1.0] / count[1.0].sum()) - np.log(count[-1.0] / count[-1.0].sum())
 
+    def scaled(i: int) -> np.ndarray:
+        """Weights of a row's features, made anew at each step: those of all rows are twice as large as the rows."""
+        return ratio[features[i]] / np.sqrt(max(1, len(features[i])))
+
     def descend(own: np.ndarray) -> tuple[np.ndarray, float]:
         """Dual coordinate descent for the hinge loss; classes weigh the same in total."""
         w, bias, alpha = np.zeros(size), 0.0, np.zeros(len(y))
         limit = {s: c * len(own) / (2 * max(1, (y[own] == s).sum())) for s in (1.0, -1.0)}
-        scaled = {i: ratio[features[i]] / np.sqrt(max(1, len(features[i]))) for i in own}
-        norm = {i: float(v @ v) + 1.0 for i, v in scaled.items()}
+        norm = {i: float((v := scaled(i)) @ v) + 1.0 for i in own}
         for _ in range(epochs):
             moved = 0.0
             for i in rng.permutation(own):
-                gap = y[i] * (w[features[i]] @ scaled[i] + bias) - 1
+                v = scaled(i)
+                gap = y[i] * (w[features[i]] @ v + bias) - 1
                 new = min(max(alpha[i] - gap / norm[i], 0.0), limit[y[i]])
                 if (step := (new - alpha[i]) * y[i]) != 0:
-                    w[features[i]] += step * scaled[i]
+                    w[features[i]] += step * v
                     bias += step
                     moved = max(moved, abs(step))
                     alpha[i] = new
