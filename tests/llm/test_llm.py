@@ -399,6 +399,22 @@ def test_line_dedup_settles_small_buckets_at_once(spark, monkeypatch, few):
     assert few == 1 or len([n for n in written if not n.startswith("cc-")]) <= 13
 
 
+def test_line_dedup_finish_makes_no_row_for_each_shingle(spark, monkeypatch):
+    """Sets of large buckets are ordered as arrays; only the lines that count for the order are exploded."""
+    rng, lines = random.Random(32), []
+    passage = sentence(rng, 22)
+    for _ in range(40):
+        own = sentence(rng, 4)
+        lines += [f"{passage} {own}{end}" for end in (".", "!", " ?")]
+    want, _ = brute_line_components(lines)
+    plans, before = {}, line_dedup.Workspace._written
+    monkeypatch.setattr(line_dedup, "FEW", 1)
+    monkeypatch.setattr(line_dedup.Workspace, "_written", lambda self, df, path: plans.update({path.rsplit("/", 1)[1]: df._jdf.queryExecution().optimizedPlan().toString()}) or before(self, df, path))
+    rows = line_dedup.line_report(docs(spark, ["\n".join(lines)])).collect()
+    assert list(rows[0]["dropped"]) == [i for i in range(len(lines)) if want[i] != i]
+    assert "Generate" in plans["left-seen"] and not any("Generate" in plans[n] for n in ("left-bits", "left-prefixes"))
+
+
 def test_quality_training_holds_rows_once():
     """Rows are read one by one and weighted anew at each step: the driver holds their ids once."""
     rng = np.random.default_rng(5)

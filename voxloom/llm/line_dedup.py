@@ -49,6 +49,8 @@ WORDS = 32
 NARROW = 8
 # shingles hashed side by side in one row
 STRIDE = 4
+# one line of so many counts for the order of shingles
+COUNTED = 8
 
 
 def _masks() -> list[int]:
@@ -133,7 +135,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     right = texts.select(F.col("line").alias("b"), F.col("normal").alias("y"), F.col("n").alias("ny"))
     near = F.lit(100) * F.least("nx", "ny") >= F.lit(PERCENT) * F.greatest("nx", "ny")
     common = F.size(F.array_intersect(hashed_shingles("x"), hashed_shingles("y")))
-    return pairs.join(left, "a").join(right, "b").where(near & _enough(common, F.col("nx") + F.col("ny"))).select("a", "b").distinct()
+    # by a last: it is no leader, so the pairs of a frequent leader are verified in many tasks
+    return pairs.join(right, "b").join(left, "a").where(near & _enough(common, F.col("nx") + F.col("ny"))).select("a", "b").distinct()
 
 
 def _enough(most: Column, of: Column) -> Column:
@@ -151,19 +154,22 @@ def _left_over(ws: Workspace, lines: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): every pair of lines (line, component) of different components that can still be similar enough.
 
     Sets are ordered by how often their shingles' places of a sketch were seen, then by hash. Similar sets share an
-    element among the first n - least + 1 of each, where least is what the similarity asks of a set of n.
+    element among the first n - least + 1 of each, where least is what the similarity asks of a set of n. Any order gives
+    the same pairs, so one line of COUNTED is enough to find it; sets are ordered as arrays, not as a row for each shingle.
     """
     sets = lines.join(texts, "line").select("line", "component", "n", F.array_distinct(hashed_shingles()).alias("hs"))
     sets = ws.table(sets, "left-sets")
     place = F.pmod(F.col("h"), F.lit(SKETCH))
-    # bounded by SKETCH, so the order needs no exchange by shingle
-    seen = ws.table(sets.select(F.explode("hs").alias("h")).groupBy(place.alias("place")).agg(F.count("*").alias("seen")), "left-seen")
-    ranked = sets.select("line", "component", "n", F.explode("hs").alias("h")).withColumn("place", place).join(F.broadcast(seen), "place")
+    # bounded by SKETCH, so the order needs no exchange by shingle and fits one row
+    counted = sets.where(F.pmod(F.xxhash64("line", F.lit(5)), F.lit(COUNTED)) == 0).select(F.explode("hs").alias("h"))
+    every = counted.select(place.alias("place"), F.lit(1).alias("one")).unionAll(counted.sparkSession.range(SKETCH).select(F.col("id"), F.lit(0)))
+    seen = every.groupBy("place").agg(F.sum("one").alias("seen")).agg(F.array_sort(F.collect_list(F.struct("place", "seen"))).alias("seen"))
+    seen = ws.table(seen.select(F.col("seen.seen").alias("seen")), "left-seen")
     # a bit of one bitmap alone stands for a shingle of that line alone: it bounds what two lines share, in no text's length
-    word, bit = F.pmod(F.shiftright("h", 6), F.lit(WORDS)), F.expr("shiftleft(1L, cast(pmod(h, 64L) as int))")
-    bits = sets.select("line", "n", F.explode("hs").alias("h")).withColumns({"word": word, "bit": bit}).groupBy("line", "n")
-    bits = ws.table(bits.agg(*[F.coalesce(F.bit_or(F.when(F.col("word") == k, F.col("bit"))), F.lit(0).cast("long")).alias(f"w{k}") for k in range(WORDS)]), "left-bits")
-    ordered = ranked.groupBy("line", "component", "n").agg(F.array_sort(F.collect_list(F.struct("seen", "h"))).alias("hs"))
+    word = F.expr(f"transform(sequence(0, {WORDS - 1}), k -> aggregate(filter(hs, h -> pmod(shiftright(h, 6), {WORDS}) = k), 0L, (w, h) -> w | shiftleft(1L, cast(pmod(h, 64L) as int))))")
+    bits = ws.table(sets.select("line", "n", word.alias("w")).select("line", "n", *[F.get("w", F.lit(k)).alias(f"w{k}") for k in range(WORDS)]), "left-bits")
+    ranked = F.expr(f"array_sort(transform(hs, h -> struct(seen[cast(pmod(h, {SKETCH}L) as int)] as seen, h as h)))")
+    ordered = sets.crossJoin(F.broadcast(seen)).select("line", "component", "n", ranked.alias("hs"))
     # words NARROW apart fold into one: a smaller bitmap that travels with every place a line is posted to
     folded = [reduce(Column.bitwiseOR, [F.col(f"w{k}") for k in range(f, WORDS, NARROW)]).alias(f"f{f}") for f in range(NARROW)]
     prefix = F.slice("hs", F.lit(1), (F.col("n") - F.floor((F.lit(PERCENT) * F.col("n") + 99) / 100) + 1).cast("int"))
