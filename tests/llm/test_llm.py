@@ -428,3 +428,25 @@ def test_quality_training_holds_rows_once():
         tracemalloc.stop()
     # weights and counts are some arrays of 2 ** BITS doubles
     assert model.weights.any() and peak < 1.1 * size + 12 * (8 << quality.BITS)
+
+
+def test_line_dedup_large_family_with_few_strays_needs_no_finish(spark, monkeypatch):
+    """Strays meet all lines of their bucket, however many; bitmaps rule out no similar pair, signs outside the BMP included."""
+    rng = random.Random(33)
+    passage = sentence(rng, 22) + " \U0001f600\U0001d53d\U0001f680"
+    own = sentence(rng, 4)
+    lines = [f"{passage} {own} {k}" for k in range(90)] + [f"{passage} {sentence(rng, 5)}{end}" for _ in range(6) for end in (".", "!")]
+    rng.shuffle(lines)
+    want, linked = brute_line_components(lines)
+    assert len(set(want)) == 13
+    written, before = [], line_dedup.Workspace._written
+    monkeypatch.setattr(line_dedup.Workspace, "_written", lambda self, df, path: written.append(path.rsplit("/", 1)[1]) or before(self, df, path))
+    rows = line_dedup.line_report(docs(spark, ["\n".join(lines)])).collect()
+    assert list(rows[0]["dropped"]) == [i for i in range(len(lines)) if want[i] != i]
+    # before: every bucket of over 64 lines went to the finish
+    assert "pairs-few" in written and "pairs-left" not in written
+    texts = spark.createDataFrame([(k, x.lower()) for k, x in enumerate(lines)], "line long, normal string")
+    texts = texts.withColumn("n", F.size(F.array_distinct(line_dedup.hashed_shingles())))
+    pairs = spark.createDataFrame([(b, a) for a, b in itertools.combinations(range(len(lines)), 2)], "a long, b long")
+    allowed = line_dedup._allowed(pairs, line_dedup._bitmaps(texts.select("line"), texts))
+    assert line_dedup._verified(allowed, texts).count() == line_dedup._verified(pairs, texts).count() == linked and allowed.count() < pairs.count()

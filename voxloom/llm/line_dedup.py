@@ -10,9 +10,10 @@ candidate is verified by the exact Jaccard similarity of all shingles (as 64-bit
 links become components, and of a component the first line by (doc_id, text hash, line number) stays.
 
 Every bucket has a leader, its least line, which all its other lines meet; then the leader leaves the bucket, and a
-bucket whose lines are all of one component is done. Of those still open, buckets of at most FEW lines meet pair by
-pair across components, and the lines of larger ones are finished exactly: of all their pairs across components those are verified
-that set sizes and prefixes (rarest shingles first) allow to be similar enough, so no bucket keeps an unverified pair.
+bucket whose lines are all of one component is done. In those still open the lines outside the most frequent component are strays. If there
+are at most FEW, they meet every line of another component; the lines of the other buckets are finished exactly: of all their pairs across components those are verified
+that set sizes and prefixes (rarest shingles first) allow to be similar enough, so no bucket keeps an unverified pair. Pairs that bitmaps of the
+lines rule out need not be verified.
 A frequent shingle's lines are met in blocks of BLOCK, spread over the tasks.
 
 Edge cases: a null text has no lines; blank lines always stay and are no duplicates; a line shorter
@@ -35,11 +36,13 @@ from voxloom.llm.names import free_name
 from voxloom.llm.workspace import Workspace
 
 SHINGLE = 6
+# blanks that don't count at the ends of a line
+OUTER = " \t\r\x0b\x0c"
 MINIMA = 24
 HASHES = 3
 BANDS = 14
 ROWS = 5
-# lines of a bucket that meet pair by pair
+# strays of a bucket that meet all its lines
 FEW = 64
 PERCENT = 80
 SKETCH = 1 << 17
@@ -73,7 +76,7 @@ def _bands() -> list[list[int]]:
 
 def normal_form(line: Column) -> Column:
     """Case folded, outer blanks off: what makes two lines equal."""
-    return F.btrim(F.lower(line), F.lit(" \t\r\x0b\x0c"))
+    return F.btrim(F.lower(line), F.lit(OUTER))
 
 
 def line_id(normal: Column) -> Column:
@@ -83,7 +86,8 @@ def line_id(normal: Column) -> Column:
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, th, line_no, normal) of every line that isn't blank; th: hash of the whole text."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
-    return lines.select("doc_id", "th", "line_no", normal_form(F.col("line")).alias("normal")).where("normal <> ''")
+    # folding case makes no line blank: a filter on the normal form would fold every line twice
+    return lines.where(F.btrim("line", F.lit(OUTER)) != "").select("doc_id", "th", "line_no", normal_form(F.col("line")).alias("normal"))
 
 
 # units holds two bytes for each character; a substring of binary needs no search for its place
@@ -95,10 +99,8 @@ def _shingle(at: str) -> str:
 
 
 def hashed_shingles(line: str = "normal") -> Column:
-    """Hashes of all shingles, repeats included. Cut out by one expression, as a step inside the lambda costs more."""
-    text = F.col(line)
-    cut = F.when(F.length(text) < SHINGLE, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(r"(?s)(?=(.{%d}))." % SHINGLE), F.lit(1)))
-    return F.transform(cut, lambda s: F.xxhash64(s))
+    """Hashes of all shingles, repeats included; four bytes for each character, so a substring needs no search for its place."""
+    return F.expr(f"transform(array(encode({line}, 'UTF-32')), u -> transform(sequence(0, greatest(0, cast(octet_length(u) / 4 as int) - {SHINGLE})), i -> xxhash64(substring(u, 4 * i + 1, {4 * SHINGLE}))))[0]")
 
 
 def signed_lines(occurrences: DataFrame) -> DataFrame:
@@ -150,7 +152,25 @@ def _most_common(x: list[Column], y: list[Column], nx: Column, ny: Column) -> Co
     return F.least(nx - alone(x, y), ny - alone(y, x))
 
 
-def _left_over(ws: Workspace, lines: DataFrame, texts: DataFrame) -> DataFrame:
+def _bitmaps(lines: DataFrame, texts: DataFrame) -> DataFrame:
+    """(line, n, w0, w1, ...) of these lines: a bit of one bitmap alone stands for a shingle of that line alone: it bounds what two lines share, in no text's length."""
+    chars = texts.join(lines, "line", "left_semi").repartition("line").select("line", "n", F.expr("encode(normal, 'UTF-32')").alias("chars"))
+    places = chars.select("line", "n", "chars", F.expr(f"explode(sequence(0, greatest(0, cast(octet_length(chars) / 4 as int) - {SHINGLE})))").alias("i"))
+    hashed = places.select("line", "n", F.expr(f"xxhash64(substring(chars, 4 * i + 1, {4 * SHINGLE}))").alias("h"))
+    words = hashed.groupBy("line", "n", F.expr(f"cast(h & {WORDS - 1}L as int)").alias("k")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 58) as int))")).alias("w"))
+    found = words.groupBy("line", "n").agg(F.map_from_entries(F.collect_list(F.struct("k", "w"))).alias("words"))
+    return found.select("line", "n", *[F.coalesce(F.try_element_at("words", F.lit(k)), F.lit(0).cast("long")).alias(f"w{k}") for k in range(WORDS)])
+
+
+def _allowed(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the lines' bitmaps allow to be similar enough."""
+    one = bits.select(F.col("line").alias("a"), F.col("n").alias("na"), *[F.col(f"w{k}").alias(f"x{k}") for k in range(WORDS)])
+    two = bits.select(F.col("line").alias("b"), F.col("n").alias("nb"), *[F.col(f"w{k}").alias(f"y{k}") for k in range(WORDS)])
+    wide = _most_common([F.col(f"x{k}") for k in range(WORDS)], [F.col(f"y{k}") for k in range(WORDS)], F.col("na"), F.col("nb"))
+    return pairs.join(two, "b").join(one, "a").where(_enough(wide, F.col("na") + F.col("nb"))).select("a", "b")
+
+
+def _left_over(ws: Workspace, lines: DataFrame, texts: DataFrame, bits: DataFrame) -> DataFrame:
     """(a, b): every pair of lines (line, component) of different components that can still be similar enough.
 
     Sets are ordered by how often their shingles' places of a sketch were seen, then by hash. Similar sets share an
@@ -165,9 +185,7 @@ def _left_over(ws: Workspace, lines: DataFrame, texts: DataFrame) -> DataFrame:
     every = counted.select(place.alias("place"), F.lit(1).alias("one")).unionAll(counted.sparkSession.range(SKETCH).select(F.col("id"), F.lit(0)))
     seen = every.groupBy("place").agg(F.sum("one").alias("seen")).agg(F.array_sort(F.collect_list(F.struct("place", "seen"))).alias("seen"))
     seen = ws.table(seen.select(F.col("seen.seen").alias("seen")), "left-seen")
-    # a bit of one bitmap alone stands for a shingle of that line alone: it bounds what two lines share, in no text's length
-    word = F.expr(f"transform(sequence(0, {WORDS - 1}), k -> aggregate(filter(hs, h -> pmod(shiftright(h, 6), {WORDS}) = k), 0L, (w, h) -> w | shiftleft(1L, cast(pmod(h, 64L) as int))))")
-    bits = ws.table(sets.select("line", "n", word.alias("w")).select("line", "n", *[F.get("w", F.lit(k)).alias(f"w{k}") for k in range(WORDS)]), "left-bits")
+    bits = ws.table(bits.join(lines.select("line"), "line", "left_semi"), "left-bits")
     ranked = F.expr(f"array_sort(transform(hs, h -> struct(seen[cast(pmod(h, {SKETCH}L) as int)] as seen, h as h)))")
     ordered = sets.crossJoin(F.broadcast(seen)).select("line", "component", "n", ranked.alias("hs"))
     # words NARROW apart fold into one: a smaller bitmap that travels with every place a line is posted to
@@ -191,10 +209,7 @@ def _left_over(ws: Workspace, lines: DataFrame, texts: DataFrame) -> DataFrame:
     narrow = _most_common([F.col(f"x.f{f}") for f in range(NARROW)], [F.col(f"y.f{f}") for f in range(NARROW)], F.col("x.n"), F.col("y.n"))
     pairs = x.join(y, met & (F.col("x.component") != F.col("y.component")) & once & _enough(rest, both) & _enough(narrow, both))
     pairs = pairs.select(F.greatest("x.line", "y.line").alias("a"), F.least("x.line", "y.line").alias("b")).distinct()
-    one = bits.select(F.col("line").alias("a"), F.col("n").alias("na"), *[F.col(f"w{k}").alias(f"x{k}") for k in range(WORDS)])
-    two = bits.select(F.col("line").alias("b"), F.col("n").alias("nb"), *[F.col(f"w{k}").alias(f"y{k}") for k in range(WORDS)])
-    wide = _most_common([F.col(f"x{k}") for k in range(WORDS)], [F.col(f"y{k}") for k in range(WORDS)], F.col("na"), F.col("nb"))
-    return pairs.join(one, "a").join(two, "b").where(_enough(wide, F.col("na") + F.col("nb"))).select("a", "b")
+    return _allowed(pairs, bits)
 
 
 def _labelled(shared: DataFrame, groups: DataFrame) -> DataFrame:
@@ -202,26 +217,21 @@ def _labelled(shared: DataFrame, groups: DataFrame) -> DataFrame:
     return shared.select("band", "line").join(groups.select(F.col("node").alias("line"), "component"), "line", "left").select("band", "line", F.coalesce("component", "line").alias("component"))
 
 
-def _near_labels(links: DataFrame) -> DataFrame:
-    """(node, component): the least line within two links. Lines of one label are connected, which is all that is needed to skip their pairs."""
-    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("m"))
-    further = least.select(F.col("node").alias("m"), F.col("m").alias("further"))
-    return least.join(further, "m", "left").select("node", F.least("m", F.coalesce("further", "m")).alias("component"))
-
-
 def _open(ws: Workspace, labelled: DataFrame, name: str) -> DataFrame:
-    """The rows (band, line, component) of buckets of several components, with the bucket's number of lines."""
+    """The rows (band, line, component) of buckets of several components, with whether the line is a stray and their number in the bucket."""
     bucket = Window.partitionBy("band")
-    met = labelled.select("band", "line", "component", F.count("*").over(bucket).alias("size"), F.min("component").over(bucket).alias("low"), F.max("component").over(bucket).alias("high"))
-    return ws.table(met.where("low <> high").drop("low", "high"), name)
+    met = labelled.withColumn("alike", F.count("*").over(Window.partitionBy("band", "component")))
+    met = met.select("band", "line", "component", F.max(F.struct("alike", "component")).over(bucket)["component"].alias("main"))
+    met = met.select("band", "line", "component", (F.col("component") != F.col("main")).alias("stray"))
+    return ws.table(met.withColumn("strays", F.count_if("stray").over(bucket)).where("strays > 0"), name)
 
 
-def _of_few(few: DataFrame) -> DataFrame:
-    """(a, b): the pairs within buckets (band, line, component) across components."""
-    x, y = few.alias("x"), few.alias("y")
-    met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.line") > F.col("y.line")) & (F.col("x.component") != F.col("y.component")))
-    return met.select(F.col("x.line").alias("a"), F.col("y.line").alias("b")).distinct()
+def _of_strays(few: DataFrame) -> DataFrame:
+    """(a, b): the pairs within buckets across components; one of each is a stray, as the others are of one component."""
+    x, y = few.where("stray").alias("x"), few.alias("y")
+    once = ~F.col("y.stray") | (F.col("x.line") > F.col("y.line"))
+    met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & once)
+    return met.select(F.greatest("x.line", "y.line").alias("a"), F.least("x.line", "y.line").alias("b")).distinct()
 
 
 def line_components(ws: Workspace, occurrences: DataFrame) -> DataFrame:
@@ -232,18 +242,21 @@ def line_components(ws: Workspace, occurrences: DataFrame) -> DataFrame:
     texts = ws.table(texts.select("line", "normal", F.size(F.array_distinct(hashed_shingles())).alias("n")), "texts")
     ws.drop("signed")
     tried = ws.table(shared.where("line <> leader").select(F.col("line").alias("a"), F.col("leader").alias("b")).distinct(), "tried")
-    links = ws.table(_verified(tried, texts), "found")
-    now = _open(ws, _labelled(shared.where("line <> leader"), _near_labels(links)), "open")
+    groups = connected_components(ws, ws.table(_verified(tried, texts), "found"), "cc-first")
+    now = _open(ws, _labelled(shared.where("line <> leader"), groups), "open")
     ws.drop("shared")
-    few = ws.table(_of_few(now.where(F.col("size") <= FEW)).join(tried, ["a", "b"], "left_anti"), "pairs-few")
-    links = links.unionAll(ws.table(_verified(few, texts), "found-few"))
-    many = now.where(F.col("size") > FEW).select("line").distinct()
+    bits = ws.table(_bitmaps(now.select("line").distinct(), texts), "bitmaps")
+    few = _of_strays(now.where(F.col("strays") <= FEW)).join(tried, ["a", "b"], "left_anti")
+    few = ws.table(_allowed(few, bits), "pairs-few")
+    links = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(_verified(few, texts))
+    many = now.where(F.col("strays") > FEW).select("band", "line")
     if many.limit(1).count():
-        # the finish meets all pairs across labels, so its labels are the components themselves
-        groups = ws.table(connected_components(ws, links, "cc-many"), "labels")
-        left = ws.table(many.join(groups.withColumnRenamed("node", "line"), "line", "left").select("line", F.coalesce("component", "line").alias("component")), "left")
-        rest = ws.table(_left_over(ws, left, texts).join(tried, ["a", "b"], "left_anti"), "pairs-left")
-        links = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(ws.table(_verified(rest, texts), "found-left"))
+        # the finish meets all pairs across components, which links found by now leave few of
+        groups = connected_components(ws, links, "cc-many")
+        links = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        left = _open(ws, _labelled(many, groups), "open-many").select("line", "component").distinct()
+        rest = ws.table(_left_over(ws, left, texts, bits).join(tried, ["a", "b"], "left_anti"), "pairs-left")
+        links = links.unionAll(ws.table(_verified(rest, texts), "found-left"))
     return ws.table(connected_components(ws, links, "cc"), "groups")
 
 
